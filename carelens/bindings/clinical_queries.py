@@ -1,3 +1,71 @@
-"""placeholder"""
-QUERIES = {}
-ORACLE = {}
+"""The plans over a clinical record made of all test tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from carelens.bindings.line_list_sql import BIOMETRICS, ENTRY, LINE_LIST, TRACKING
+from carelens.bindings.sql_tables import CLINICAL
+from carelens.bindings.tables import NOW, PICKUP_END, START, clinical_tables
+from carelens.operators.lookups import attach_demographics as demographics
+from carelens.plans import biometrics as biometric_plan
+from carelens.plans import line_list as plan
+from carelens.plans import tracking
+
+
+def line_list(spark, sf):
+    return plan.line_list(clinical_tables(spark, sf), START, PICKUP_END, NOW)
+
+
+def biometric_status(spark, sf):
+    return biometric_plan.biometric_status(clinical_tables(spark, sf))
+
+
+def pivot_tracking(spark, sf):
+    return tracking.pivot_tracking(clinical_tables(spark, sf), START, PICKUP_END)
+
+
+def care_entry_point(spark, sf):
+    return plan.entry_points(clinical_tables(spark, sf))
+
+
+def attach_demographics(spark, sf):
+    t = clinical_tables(spark, sf)
+    people = t["patient"].select(F.col("patient_id").alias("person_id"))
+    return demographics(people, t["person"], t["person_name"], t["person_attribute"],
+                        t["person_attribute_type"], t["person_address"])
+
+
+QUERIES = {f.__name__: f for f in (
+    line_list, biometric_status, pivot_tracking, care_entry_point, attach_demographics)}
+
+ORACLE = {
+    "line_list": f"{LINE_LIST} SELECT * FROM line_list",
+    "biometric_status": f"""
+WITH {CLINICAL}, {BIOMETRICS}
+SELECT hospital_no AS "PatientHospitalNo", uuid, unique_id AS "PatientUniqueID",
+  enrolled AS "EnrollmentDate", recaptured AS "RecaptureDate", recapture_count AS "RecaptureCount",
+  captured AS "BiometricCaptured", capture_date AS "BiometricCaptureDate", valid AS "ValidCapture"
+FROM biometrics""",
+    "pivot_tracking": f"""
+WITH {CLINICAL}, {TRACKING}
+SELECT patient_id, uuid, unique_id AS "UniqueID", hospital_id AS "HospID",
+  terminated AS "TrackerTerminationDate", entered_by AS "EnteredBy", created AS "DateCreated",
+  deceased AS "MarkAsDeseased", died AS "MarkAsDeseasedDeathDate", tracking_reason AS "ReasonForTracking",
+  quarter_outcome AS "PatientOutcomePreviousQuarter",
+  quarter_outcome_date AS "PatientOutcomeDatePreviousQuarter", outcome_date AS "DateOfTermination",
+  outcome AS "ReasonForTermination", cause AS "CauseOfDeath", other_cause AS "OtherCauseOfDeath",
+  discontinued AS "DiscontinuedCareReason", returned AS "DateReturnedToCare", referred AS "ReferredFor"
+FROM tracking""",
+    "care_entry_point": f"""
+WITH {CLINICAL}, {ENTRY}
+SELECT hospital_no AS "PatientHospitalNo", uuid, entry_point AS "CareEntryPoint" FROM entry""",
+    "attach_demographics": f"""
+WITH {CLINICAL}
+SELECT p.patient_id AS person_id, pe.gender AS "Sex", pe.birthdate AS "DOB",
+  pn.given_name || ' ' || pn.family_name AS "Patient_Name", pa.value AS "Phone_No", ad.address1 AS "Patient_Address"
+FROM patient p LEFT JOIN person pe ON pe.person_id = p.patient_id
+LEFT JOIN person_name pn ON pn.person_id = p.patient_id AND pn.voided = 0
+LEFT JOIN person_attribute pa ON pa.person_id = p.patient_id AND pa.person_attribute_type_id = 8
+LEFT JOIN person_address ad ON ad.person_id = p.patient_id""",
+}

@@ -342,7 +342,8 @@ WITH spans AS (
   FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2),
 months AS (
   SELECT o_orderkey, (year(start) - year(dob)) * 12 + month(start) - month(dob)
-    - CAST(day(start) < day(dob) AS INTEGER) AS m FROM spans)
+    + CASE WHEN start >= dob AND day(start) < day(dob) THEN -1
+           WHEN start < dob AND day(start) > day(dob) THEN 1 ELSE 0 END AS m FROM spans)
 SELECT o_orderkey, CAST(CASE WHEN m >= 60 THEN m // 12 ELSE 0 END AS INTEGER) AS years,
   CAST(CASE WHEN m < 60 THEN m END AS INTEGER) AS months FROM months""",
     "format_date": """

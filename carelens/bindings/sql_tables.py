@@ -145,7 +145,7 @@ encounter AS (
 person AS (
   SELECT c_custkey AS person_id,
          CASE WHEN c_mktsegment IN ('HOUSEHOLD', 'FURNITURE', 'BUILDING') THEN 'F' ELSE 'M' END AS gender,
-         DATE '1950-01-01' + CAST(floor((c_acctbal + 1000) * 1.75) AS INTEGER) AS birthdate,
+         DATE '1950-01-01' + CAST(floor((c_acctbal + 1000) * 1.6) AS INTEGER) AS birthdate,
          CAST(c_acctbal > 9500 AS INTEGER) AS dead,
          CAST(DATE '2000-01-01' + c_nationkey * 30 AS TIMESTAMP) AS death_date,
          CAST(c_acctbal BETWEEN 9900 AND 9950 AS INTEGER) AS voided

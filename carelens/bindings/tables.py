@@ -263,7 +263,7 @@ def clinical_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             key.alias("person_id"),
             F.when(segment.isin("HOUSEHOLD", "FURNITURE", "BUILDING"), "F").otherwise("M").alias("gender"),
             F.date_add(lit("1950-01-01").cast("date"),
-                       F.floor((balance + 1000) * 1.75).cast("int")).alias("birthdate"),
+                       F.floor((balance + 1000) * 1.6).cast("int")).alias("birthdate"),
             flag(balance > 9500).alias("dead"),
             F.date_add(lit("2000-01-01").cast("date"), home * 30).cast("timestamp_ntz").alias("death_date"),
             flag(balance.between(9900, 9950)).alias("voided")),
