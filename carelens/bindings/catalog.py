@@ -11,10 +11,11 @@ from carelens.bindings import (
     observation_queries,
     pickup_queries,
     record_queries,
+    report_queries,
 )
 from carelens.session import tune
 
-_MODULES = (observation_queries, pickup_queries, record_queries, clinical_queries)
+_MODULES = (observation_queries, pickup_queries, record_queries, clinical_queries, report_queries)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
