@@ -17,12 +17,11 @@ from carelens.functions import day, status_not_in
 from carelens.operators import filters, latest, lookups, ordered
 from carelens.operators.summaries import care_entry_point
 
-EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 CODED = ("signup", "view", "click")
 
 
 def scan_obs(spark, sf):
-    return spark.read.schema(EVENT_SCHEMA).parquet(f"{sf}/events.parquet").select(
+    return table(spark, sf, "events").select(
         F.col("event_id").alias("obs_id"), F.col("user_id").alias("person_id"),
         F.col("event_type").alias("concept_id"), F.col("ts").alias("obs_datetime"),
         F.col("value").alias("value_numeric"))

@@ -56,18 +56,16 @@ def attach_parameters(df: DataFrame, properties: DataFrame, wanted: Mapping[str,
                       value: str = "property_value") -> DataFrame:
     """Add settings held as (property, value) rows to every row.
 
-    With one facility each setting is a scalar subquery; with several, the settings
+    With one facility the settings are a scalar subquery; with several, the settings
     of a facility are one row, joined on the facility.
     """
     keys = key_list(site)
+    rows = properties.filter(F.col(name).isin(*wanted.values())).groupBy(*keys).agg(*[
+        F.max(F.when(F.col(name) == p, F.col(value))).alias(out) for out, p in wanted.items()])
     if keys:
-        rows = properties.filter(F.col(name).isin(*wanted.values())).groupBy(*keys).agg(*[
-            F.max(F.when(F.col(name) == p, F.col(value))).alias(out)
-            for out, p in wanted.items()])
         return df.join(rows, keys, "left")
-    return df.withColumns({
-        out: properties.filter(F.col(name) == p).agg(F.max(value)).scalar()
-        for out, p in wanted.items()})
+    one = rows.select(F.struct(*wanted)).scalar()
+    return df.withColumn("__settings", one).select("*", "__settings.*").drop("__settings")
 
 
 def attach_facility(df: DataFrame, mapping: DataFrame, code: str = "DatimCode",

@@ -65,6 +65,10 @@ LINE_LIST_COLUMNS = (
     "RecaptureDate", "RecaptureCount",
 )
 
+# Concepts read from their number, and those read from their date.
+NUMERIC = (c.REFILL_DAYS, c.VIRAL_LOAD, c.WEIGHT, c.HEIGHT)
+DATED = (c.ART_START, c.VIRAL_LOAD_REPORTED, c.OTZ_START, c.OTZ_STOP)
+
 # Person columns that merge by their largest value; the others by their smallest.
 _LARGEST = (
     "AgeAtStartOfARTYears", "AgeAtStartOfARTMonths", "TransferInStatus", "ARTStartDate",
@@ -103,33 +107,32 @@ def observation_facts(obs: DataFrame, names: DataFrame, end_date: dt.date | str,
 
     listed_ts = F.when(listed, ts)
 
-    def newest(value: str) -> Column:
-        return F.max(F.when(listed, F.struct(ts.alias("at"), F.col(value).alias("v"))))
-
+    # The slot a concept is read from, after what decides among equal instants: the
+    # slots a concept does not use stay NULL and so never decide.
+    newest = F.struct(
+        ts.alias("at"),
+        F.when(concept.isin(c.REFILL_GROUP, c.SAMPLE_DATE), F.col("obs_id")).alias("id"),
+        F.when(concept.isin(*NUMERIC), F.col("value_numeric")).alias("numeric"),
+        F.when(concept.isin(c.SAMPLE_DATE, *DATED), F.col("value_datetime")).alias("datetime"),
+    )
     per_answer = rows.groupBy(*keys, "concept_id", "value_coded").agg(
         F.max(listed_ts).alias("last"),
         F.min(listed_ts).alias("first"),
         F.max(F.when(is_live, ts)).alias("any_last"),
         F.min(F.when(is_live, ts)).alias("any_first"),
-        newest("value_numeric").alias("numeric"),
-        newest("value_datetime").alias("datetime"),
-        newest("obs_id").alias("id"),
-        F.max(F.when(sample, F.struct(ts, F.col("obs_id"), F.col("value_datetime").alias("v")))).alias("sample"),
+        F.max(F.when(listed | sample, newest)).alias("newest"),
     )
     answers = decode_coded(per_answer, names, site=site).repartition(*keys)
     per_concept = answers.groupBy(*keys, "concept_id").agg(
         F.max("last").alias("last"),
         F.max("any_last").alias("any_last"),
-        F.max("numeric")["v"].alias("numeric"),
-        F.max("datetime")["v"].alias("datetime"),
-        F.max("id")["v"].alias("id"),
+        F.max("newest").alias("newest"),
         at_last("last", F.col("name")).alias("name"),
         at_first("first", F.col("name")).alias("first_name"),
         at_last("last", F.when(dtg, F.col("name"))).alias("dtg_name"),
         at_last("last", code == c.INH_DISPENSED_ANSWER).alias("inh"),
         F.min(F.when(dtg, F.col("any_first"))).alias("first_dtg"),
-        F.max("sample")["v"].alias("sample"),
-    )
+    ).select("*", "newest.*").drop("newest", "at")
 
     def of(concept_ids: int | tuple, value: str | Column) -> Column:
         ids = concept_ids if isinstance(concept_ids, tuple) else (concept_ids,)
@@ -153,7 +156,7 @@ def observation_facts(obs: DataFrame, names: DataFrame, end_date: dt.date | str,
         F.when(vl.isNotNull(), of(c.VIRAL_LOAD_REPORTED, "datetime")).alias("vl_reported"),
         of(c.VIRAL_LOAD, F.when(F.col("last") == F.col("any_last"), F.col("last")))
         .cast("date").alias("LastViralLoadDate"),
-        F.max("sample").cast("date").alias("LastDateOfSampleCollection"),
+        of(c.SAMPLE_DATE, "datetime").cast("date").alias("LastDateOfSampleCollection"),
         of(c.WEIGHT, "numeric").alias("CurrentWeight_Kg"),
         of(c.WEIGHT, "last").alias("weight_at"),
         of(c.HEIGHT, "numeric").alias("CurrentHeight_Kg"),
@@ -224,10 +227,11 @@ def attach_facility_columns(df: DataFrame, tables: Mapping[str, DataFrame], site
     regions = tables["nigeria_datimcode_mapping"].groupBy("datim_code").agg(
         F.min("state_name").alias("State"), F.min("lga_name").alias("LGA"))
     facility = match(settings, regions, "DatimCode", "datim_code")
-    columns = ["DatimCode", "FaciityName", "State", "LGA"]
     if s:
         return df.join(facility, s, "left")
-    return df.withColumns({n: facility.select(n).scalar() for n in columns})
+    columns = ["DatimCode", "FaciityName", "State", "LGA"]
+    one = facility.select(F.struct(*columns)).scalar()
+    return df.withColumn("__facility", one).select("*", "__facility.*").drop("__facility")
 
 
 def person_rows(tables: Mapping[str, DataFrame], end_date: dt.date | str,
