@@ -32,7 +32,6 @@ from carelens.operators.lookups import (
 from carelens.operators.ordered import (
     attach_child_values,
     child_values,
-    current_value,
     refill_before,
 )
 from carelens.operators.summaries import care_entry_point, rollup_by_identifier
@@ -177,45 +176,62 @@ def observation_facts(obs: DataFrame, names: DataFrame, end_date: dt.date | str,
     return wide.filter(F.col("any_listed").isNotNull()).drop("any_listed")
 
 
-def pharmacy_dates(obs: DataFrame, encounters: DataFrame, end_date: dt.date | str,
-                   person: Keys, site: Keys = ()) -> DataFrame:
-    """Latest, previous and last-quarter pickup on the pharmacy form per person.
+def visit_facts(obs: DataFrame, encounters: DataFrame, names: DataFrame,
+                end_date: dt.date | str, person: Keys, site: Keys = ()) -> DataFrame:
+    """Everything that depends on the kind of visit, one row per person.
 
-    Equal instants merge before the two newest per person, quarter side and encounter
-    state are kept, so at most eight rows per person meet in the last step.
+    Pickups and refill groups on the pharmacy form and regimens on regimen visits come
+    from one scan and one join with the encounters.  Rows merge first: pickups per
+    instant, regimens per answer, groups per person.  Of these the two newest per
+    person, kind, quarter side and encounter state are kept, and Spark applies this
+    limit before it shuffles, so only a few rows per person meet in the last step.
     """
     keys, s = key_list(person), key_list(site)
-    visits = encounters.filter(F.col("form_id") == c.PHARMACY_FORM).select(
-        *s, "encounter_id", (F.col("voided") == 0).alias("enc_live"))
-    rows = as_of(live(obs), "obs_datetime", end_date).filter(F.col("concept_id") == c.PICKUP)
-    rows = rows.select(*keys, "encounter_id", "obs_datetime").join(visits, [*s, "encounter_id"])
-    in_quarter = F.col("obs_datetime") <= end_of_last_quarter(end_date)
-    merged = rows.groupBy(*keys, "obs_datetime").agg(
-        F.max("enc_live").alias("enc_live")).withColumn("in_quarter", in_quarter)
-    newest_first = Window.partitionBy(*keys, "in_quarter", "enc_live").orderBy(
-        F.col("obs_datetime").desc())
-    few = merged.withColumn("rank", F.row_number().over(newest_first)).filter("rank <= 2")
-    instant = F.col("obs_datetime")
+    on_form = F.col("form_id") == c.PHARMACY_FORM
+    is_live = F.col("voided") == 0
+    regimen_visit = (F.col("encounter_type") == c.REGIMEN_ENCOUNTER_TYPE) & is_live
+    visits = encounters.filter(on_form | regimen_visit).select(
+        *s, "encounter_id", on_form.alias("pharmacy"), regimen_visit.alias("regimen_visit"),
+        is_live.alias("enc_live"))
+    concept, ts = F.col("concept_id"), F.col("obs_datetime")
+    quarter_end = end_of_last_quarter(end_date)
+    rows = as_of(live(obs), "obs_datetime", end_date).filter(
+        concept.isin(c.PICKUP, c.REFILL_GROUP, *c.REGIMENS))
+    rows = rows.select(*keys, "encounter_id", "concept_id", "obs_datetime", "obs_id", "value_coded")
+    kind = (
+        F.when((concept == c.PICKUP) & F.col("pharmacy"), "pickup")
+        .when((concept == c.REFILL_GROUP) & F.col("pharmacy") & (ts <= quarter_end), "group")
+        .when(concept.isin(*c.REGIMENS) & F.col("regimen_visit"), "regimen")
+    )
+    joined = rows.join(visits, [*s, "encounter_id"]).withColumn("kind", kind).filter(
+        F.col("kind").isNotNull())
+    is_pickup, is_regimen = F.col("kind") == "pickup", F.col("kind") == "regimen"
+    merged = joined.groupBy(
+        *keys, "kind", F.when(is_pickup, ts).alias("instant"),
+        F.when(is_regimen, F.col("value_coded")).alias("code")).agg(
+        F.max(F.struct(ts.alias("at"), F.col("obs_id").alias("id"))).alias("top"),
+        F.max("obs_id").alias("newest_id"),
+        F.max("enc_live").alias("enc_live"))
+    # An answer without a preferred name does not count as a regimen.
+    named = decode_coded(merged, names, "code", site=s).filter(
+        ~is_regimen | F.col("name").isNotNull())
+    shaped = named.select(
+        *keys, "kind", "enc_live", (F.col("top.at") <= quarter_end).alias("in_quarter"),
+        F.struct("top.at", "top.id", "newest_id", "name").alias("visit"))
+    newest_first = Window.partitionBy(*keys, "kind", "in_quarter", "enc_live").orderBy(
+        F.col("visit").desc())
+    few = shaped.withColumn("rank", F.row_number().over(newest_first)).filter("rank <= 2")
+    pickup_at = F.when(is_pickup, F.col("visit.at"))
     return few.groupBy(*keys).agg(
-        F.max(instant).alias("latest_pickup"),
-        F.max(F.when(F.col("enc_live"), instant)).alias("latest_live_pickup"),
-        F.max(F.when(F.col("in_quarter"), instant)).alias("LastPickupDatePreviousQuarter"),
-        F.get(F.sort_array(F.collect_set(instant), asc=False), F.lit(1)).alias("PreviousLastPickupDate"),
+        F.max(pickup_at).alias("latest_pickup"),
+        F.max(F.when(F.col("enc_live"), pickup_at)).alias("latest_live_pickup"),
+        F.max(F.when(F.col("in_quarter"), pickup_at)).alias("LastPickupDatePreviousQuarter"),
+        F.get(F.sort_array(F.collect_set(pickup_at), asc=False), F.lit(1)).alias("PreviousLastPickupDate"),
+        F.max(F.when(F.col("kind") == "group", F.col("visit.newest_id"))).alias("quarter_group"),
+        F.max(F.when(is_regimen, F.col("visit")))["name"].alias("CurrentRegimen"),
     )
 
 
-def quarter_group(obs: DataFrame, encounters: DataFrame, end_date: dt.date | str,
-                  person: Keys, site: Keys = ()) -> DataFrame:
-    """Newest refill group on the pharmacy form up to the end of the last quarter."""
-    keys, s = key_list(person), key_list(site)
-    rows = as_of(live(obs), "obs_datetime", end_of_last_quarter(end_date)).filter(
-        F.col("concept_id") == c.REFILL_GROUP)
-    visits = encounters.filter(F.col("form_id") == c.PHARMACY_FORM).select(*s, "encounter_id")
-    return rows.select(*keys, "encounter_id", "obs_id").join(
-        visits, [*s, "encounter_id"], "left_semi").groupBy(*keys).agg(
-        F.max("obs_id").alias("quarter_group"))
-
-
 def attach_facility_columns(df: DataFrame, tables: Mapping[str, DataFrame], site: Keys) -> DataFrame:
     """Facility code, name, state and area; the same for all rows of a facility."""
     s = key_list(site)
@@ -246,17 +262,13 @@ def person_rows(tables: Mapping[str, DataFrame], end_date: dt.date | str,
     obs, encounters = tables["obs"], tables["encounter"]
     names = preferred_names(tables["concept_name"], site=s)
     facts = observation_facts(obs, names, end_date, person, s)
-    pickups = pharmacy_dates(obs, encounters, end_date, person, s)
+    visits = visit_facts(obs, encounters, names, end_date, person, s)
     groups = as_of(obs, "obs_datetime", end_date).filter(F.col("concept_id") == c.REFILL_GROUP)
-    before = refill_before(groups, pickups, "latest_pickup", person).withColumnRenamed(
+    before = refill_before(groups, visits, "latest_pickup", person).withColumnRenamed(
         "group_id", "previous_group")
-    in_quarter = quarter_group(obs, encounters, end_date, person, s)
-    regimen = current_value(obs, encounters, names, c.REGIMENS, c.REGIMEN_ENCOUNTER_TYPE,
-                            end_date, person, [*s, "encounter_id"], site=s
-                            ).withColumnRenamed("current_value", "CurrentRegimen")
     patients = live(tables["patient"]).select(*s, F.col("patient_id").alias("person_id"))
     rows = facts.join(patients, person, "left_semi")
-    for part in (pickups, before, in_quarter, regimen):
+    for part in (visits, before):
         rows = rows.join(part, person, "left")
     children = child_values(obs, c.REFILL_DAYS, ["obs_group_id", *person])
     rows = attach_child_values(rows, children, {
