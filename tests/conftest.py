@@ -21,7 +21,9 @@ def spark():
     session = (
         SparkSession.builder.master("local[8]")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
+        .config("spark.default.parallelism", "1")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
@@ -58,7 +60,7 @@ class Clinic:
         self.rows = {name: [] for name in SCHEMAS}
         self.next_obs = 0
 
-    def add(self, name, **values):
+    def add(self, name, /, **values):
         for optional in ("voided",):
             if optional in SCHEMAS[name]:
                 values.setdefault(optional, 0)
