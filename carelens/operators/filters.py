@@ -74,13 +74,11 @@ def tracked_in_window(encounters: DataFrame, persons: DataFrame,
 
     The bounds are inclusive at midnight.
     """
-    died = persons.select(
-        *key_list(person),
-        (
-            (F.col(dead) == 1) & in_window(death_date, start, end)
-            & (F.col(person_voided) == 0)
-        ).alias("__died"),
-    )
+    # Only the few persons who died in the window are joined, all others are known not
+    # to have; with so few Spark need not shuffle the encounters.
+    died = persons.filter(
+        (F.col(dead) == 1) & in_window(death_date, start, end) & (F.col(person_voided) == 0)
+    ).select(*key_list(person)).distinct().withColumn("__died", F.lit(True))
     tracked = (F.col(form) == form_id) & (F.col(voided) == 0) & in_window(ts, start, end)
     joined = match(encounters, died, encounter_person, person)
     return joined.filter(tracked | F.col("__died")).drop("__died")

@@ -36,4 +36,5 @@ def match(left: DataFrame, right: DataFrame, left_keys: Keys, right_keys: Keys,
     for lk, rk in zip(key_list(left_keys), renamed.values(), strict=True):
         a, b = left[f"`{lk}`"], other[rk]
         cond = cond & (a.eqNullSafe(b) if null_safe else a == b)
-    return left.join(other, cond, how).drop(*renamed.values())
+    joined = left.join(other, cond, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*renamed.values())

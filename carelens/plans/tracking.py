@@ -64,9 +64,9 @@ def pivot_tracking(tables: Mapping[str, DataFrame], start_date: dt.date | str,
     visits is one to one.
     """
     s = key_list(site)
-    live_ids = live(tables["patient"]).select(*s, "patient_id", F.lit(True).alias("__live"))
+    live_ids = live(tables["patient"]).select(*s, "patient_id")
     # Only live patients have a person to be dead in the window.
-    persons = match(tables["person"], live_ids, [*s, "person_id"], [*s, "patient_id"], "inner")
+    persons = match(tables["person"], live_ids, [*s, "person_id"], [*s, "patient_id"], "left_semi")
     visits = tracked_in_window(
         live(tables["encounter"]), persons, start_date, end_date, TRACKING_FORM,
         encounter_person=[*s, "patient_id"], person=[*s, "person_id"])
