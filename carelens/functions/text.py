@@ -44,7 +44,9 @@ def recode(c: Column | str, mapping: Mapping[str, str]) -> Column:
 def blank_to_null(df: DataFrame) -> DataFrame:
     """Turn empty text cells into NULL, as a spreadsheet round trip does."""
     text = {name for name, kind in df.dtypes if kind == "string"}
-    return df.select([
-        F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) if c in text else F.col(f"`{c}`")
-        for c in df.columns
-    ])
+
+    def cell(name: str) -> Column:
+        c = F.col(f"`{name}`")
+        return F.when(c != "", c).alias(name) if name in text else c
+
+    return df.select([cell(c) for c in df.columns])

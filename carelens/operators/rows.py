@@ -19,8 +19,7 @@ def number_rows(df: DataFrame, order: Sequence[Column | str], out: str = "row_nu
 
     The rows are range-partitioned and sorted, so a row's number is its position in
     its partition plus the sizes of the partitions before it.  The sorted rows are
-    checkpointed first: sampling the ranges a second time could place rows
-    differently.  ``order`` has to be unique per row for the result to be fixed.
+    stored first: sampling the ranges a second time could place rows differently.  ``order`` has to be unique per row for the result to be fixed.
     """
     by = [column(c) for c in order]
     # The generated id holds the partition in its upper bits, the position below.

@@ -3,40 +3,51 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Adaptive execution splits skewed join partitions at run time,
-# also where the join feeds an aggregation on the same key.
-ADAPTIVE = {
+# Adaptive execution splits skewed join partitions at run time, also where the join
+# feeds an aggregation on the same key.  The rows here are wide: generated methods too
+# long for the JVM to compile (8,000 bytes) would run interpreted, so Spark falls back to
+# its split-up expression code for them.
+SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Switch on skew handling; all of these can be set on a running session."""
-    for key, value in ADAPTIVE.items():
+    """Apply the settings; all of them can be set on a running session."""
+    for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local session without that setting gets a folder of its own.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="carelens-checkpoint-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the session's checkpoint folder and read it back from there.
+    """Write ``df`` to a table of its own in the shared folder and read it back.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``, so the
-    rows survive the loss of executors.  Only a local session without that setting
-    gets a folder of its own.
+    The rows survive the loss of executors, are computed once however often they are
+    used, and readers take only the columns they need.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            shared = tempfile.mkdtemp(prefix="carelens-checkpoint-")
-        context.setCheckpointDir(shared)
-    return df.checkpoint()
+    path = f"{shared_folder(spark)}/carelens-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
