@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelens.functions.dates import day
-from carelens.operators.keys import Keys, key_list, match
+from carelens.operators.keys import Keys, key_list, match_many
 
 # Fixed value: how a valid fingerprint template starts.
 TEMPLATE_PREFIX = "Rk1S"
@@ -80,5 +80,5 @@ def tracked_in_window(encounters: DataFrame, persons: DataFrame,
         (F.col(dead) == 1) & in_window(death_date, start, end) & (F.col(person_voided) == 0)
     ).select(*key_list(person)).distinct().withColumn("__died", F.lit(True))
     tracked = (F.col(form) == form_id) & (F.col(voided) == 0) & in_window(ts, start, end)
-    joined = match(encounters, died, encounter_person, person)
+    joined = match_many(encounters, died, encounter_person, person)
     return joined.filter(tracked | F.col("__died")).drop("__died")

@@ -38,3 +38,16 @@ def match(left: DataFrame, right: DataFrame, left_keys: Keys, right_keys: Keys,
         cond = cond & (a.eqNullSafe(b) if null_safe else a == b)
     joined = left.join(other, cond, how)
     return joined if how in ("left_semi", "left_anti") else joined.drop(*renamed.values())
+
+
+def match_many(left: DataFrame, right: DataFrame, left_keys: Keys, right_keys: Keys,
+               how: str = "left") -> DataFrame:
+    """``match`` where one key may hold a large share of the left rows.
+
+    Adaptive execution splits a skewed partition only where a shuffle feeds the join
+    directly.  An aggregated right side is partitioned by the key already and would
+    join without a shuffle of its own; compared null-safe, both sides are shuffled for
+    the join.  Missing keys match nothing, as in a plain join.
+    """
+    known = right.dropna(subset=key_list(right_keys))
+    return match(left, known, left_keys, right_keys, how, null_safe=True)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from carelens.functions.text import full_name, normalise_id
 from carelens.operators.filters import live
-from carelens.operators.keys import Keys, key_list, match
+from carelens.operators.keys import Keys, key_list, match, match_many
 
 # Identifier types and the columns they become.
 IDENTIFIER_TYPES = {
@@ -75,7 +75,7 @@ def attach_facility(df: DataFrame, mapping: DataFrame, code: str = "DatimCode",
     columns = columns or {"State": "state_name", "LGA": "lga_name"}
     one = mapping.groupBy(mapping_code).agg(
         *[F.min(source).alias(out) for out, source in columns.items()])
-    return match(df, one, code, mapping_code)
+    return match_many(df, one, code, mapping_code)
 
 
 def attach_encounter(obs: DataFrame, encounters: DataFrame, columns: Sequence[str],
@@ -90,14 +90,14 @@ def decode_coded(df: DataFrame, names: DataFrame, coded: str = "value_coded",
     """Coded answer to its preferred name; ``names`` holds one row per concept."""
     keys = key_list(site)
     named = names.withColumnRenamed("name", out)
-    return match(df, named, [*keys, coded], [*keys, "concept_id"])
+    return match_many(df, named, [*keys, coded], [*keys, "concept_id"])
 
 
 def flag_exists(df: DataFrame, other: DataFrame, keys: Keys, other_keys: Keys, out: str,
                 yes: str = "Yes", no: str = "No") -> DataFrame:
     """Whether the key occurs in another table."""
     present = other.select(*key_list(other_keys)).distinct().withColumn("__hit", F.lit(True))
-    flagged = match(df, present, keys, other_keys)
+    flagged = match_many(df, present, keys, other_keys)
     return flagged.withColumn(
         out, F.when(F.col("__hit"), yes).otherwise(no)).drop("__hit")
 
@@ -144,7 +144,7 @@ def attach_entered_by(encounters: DataFrame, users: DataFrame, names: DataFrame,
     who = users.groupBy(*keys, "user_id").agg(F.min("person_id").alias("person_id"))
     full = person_names(names, [*keys, "person_id"]).withColumnRenamed("Patient_Name", "EnteredBy")
     staff = who.join(full, [*keys, "person_id"], "left").drop("person_id")
-    return match(encounters, staff, [*keys, creator], [*keys, "user_id"])
+    return match_many(encounters, staff, [*keys, creator], [*keys, "user_id"])
 
 
 def lookup_unique(df: DataFrame, other: DataFrame, key: Keys, columns: Sequence[str],

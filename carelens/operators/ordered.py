@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from carelens.functions.dates import day, end_of_last_quarter
 from carelens.operators.filters import as_of, live, on_form
-from carelens.operators.keys import Keys, key_list, match
+from carelens.operators.keys import Keys, key_list, match, match_many
 
 
 def newest_instants(rows: DataFrame, n: int, keys: Keys, ts: str) -> DataFrame:
@@ -104,8 +104,8 @@ def current_value(obs: DataFrame, encounters: DataFrame, names: DataFrame,
     # Each answer of a person shrinks to its newest row before it is decoded.
     per_code = rows.groupBy(*key_list(person), coded).agg(
         F.max(F.struct(F.col(ts).alias("at"), F.col(obs_id).alias("id"))).alias("__top"))
-    named = match(per_code, names, [*key_list(site), coded],
-                  [*key_list(site), "concept_id"], "inner")
+    named = match_many(per_code, names, [*key_list(site), coded],
+                       [*key_list(site), "concept_id"], "inner")
     return named.groupBy(*key_list(person)).agg(F.max_by("name", "__top").alias("current_value"))
 
 
@@ -170,7 +170,8 @@ def refill_before(groups: DataFrame, bounds: DataFrame, bound: str,
     ``bounds`` holds one row per person.
     """
     keys = key_list(person)
-    joined = groups.select(*keys, ts, obs_id).join(bounds.select(*keys, bound), keys)
+    joined = match_many(groups.select(*keys, ts, obs_id), bounds.select(*keys, bound),
+                        keys, keys, "inner")
     return joined.filter(F.col(ts) < F.col(bound)).groupBy(*keys).agg(
         F.max(obs_id).alias("group_id"))
 

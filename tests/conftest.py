@@ -22,6 +22,7 @@ def spark():
         SparkSession.builder.master("local[8]")
         .config("spark.ui.enabled", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.sql.shuffle.partitions", "2")
         .config("spark.default.parallelism", "1")
         .config("spark.ui.showConsoleProgress", "false")

@@ -73,7 +73,7 @@ def test_facts_read_observations_once(spark):
 def skewed(spark):
     """300,000 observations; a third belong to person 0, many at the same instant."""
     n = 300_000
-    person = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 1000 + 1)
+    person = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") >= 0, F.col("id") % 1000 + 1)
     return spark.range(n).repartition(8).select(
         F.col("id").alias("obs_id"), person.cast("long").alias("person_id"),
         (F.col("id") % 4).cast("int").alias("concept_id"),
@@ -146,6 +146,54 @@ def test_lookup_and_summaries_of_a_hot_key(spark, skewed, no_broadcast):
     assert quality.agg(F.sum(F.col("n_low") + F.col("n_not_low"))).first()[0] == 300_000
 
 
+@pytest.fixture
+def small_partitions(no_broadcast):
+    """Thresholds at which the test data counts as skewed."""
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: no_broadcast.conf.get(k, None) for k in small}
+    for key, value in small.items():
+        no_broadcast.conf.set(key, value)
+    yield no_broadcast
+    for key, value in before.items():
+        if value is None:
+            no_broadcast.conf.unset(key)
+        else:
+            no_broadcast.conf.set(key, value)
+
+
+def final_plan(df):
+    df.collect()
+    return plan(df)
+
+
+def test_hot_partitions_are_split(skewed, small_partitions):
+    spark = small_partitions
+    bounds = skewed.groupBy("person_id").agg(F.max("obs_datetime").alias("top"))
+    assert "skew=true" in final_plan(ordered.refill_before(skewed, bounds, "top"))
+    wide = [F.max(c) for c in ("obs_id", "obs_datetime", "value_numeric")]
+    coded = skewed.withColumn("value_coded", F.when(F.col("person_id") == 0, 4).when(
+        F.col("person_id") > 0, (F.col("obs_id") % 1000).cast("int")))
+    words = spark.range(1000).select(
+        F.when(F.col("id") >= 0, F.col("id").cast("int")).alias("concept_id"),
+        F.col("id").cast("string").alias("name"), F.lit("en").alias("locale"),
+        F.lit(1).alias("locale_preferred"))
+    names = latest.preferred_names(words)
+    assert "skew=true" in final_plan(lookups.decode_coded(coded, names).groupBy("name").agg(*wide))
+    uncoded = coded.withColumn("value_coded", F.when(F.col("person_id") != 0, F.col("value_coded")))
+    assert "skew=true" in final_plan(lookups.decode_coded(uncoded, names).groupBy("name").agg(*wide))
+    visits = skewed.select((F.col("obs_id") % 5000 + 1).alias("encounter_id"), F.lit(1).alias("form_id"),
+                           F.lit(0).alias("voided")).distinct()
+    seen = skewed.withColumn("encounter_id", F.when(F.col("person_id") == 0, 7).otherwise(
+        F.col("obs_id") % 5000 + 1))
+    assert "skew=true" in final_plan(lookups.attach_encounter(seen, visits, ["form_id"]).groupBy(
+        "form_id").agg(*wide))
+
+
 def test_tracking_is_one_row_per_patient(spark):
     t = clinical_tables(spark, SF_DIR)
     found = pivot_tracking(t, "1995-01-01", "2001-06-30")
