@@ -80,6 +80,12 @@ def refill_before_latest(spark, sf):
     return ordered.refill_before_latest(rows, rows, _with_person(spark, sf), PICKUP_END)
 
 
+def refill_before_latest_uncapped(spark, sf):
+    rows = pickups(spark, sf)
+    return ordered.refill_before_latest(
+        rows, rows, _with_person(spark, sf), PICKUP_END, capped=False)
+
+
 def refill_at_previous(spark, sf):
     rows = pickups(spark, sf)
     return ordered.refill_at_previous(rows, rows, _with_person(spark, sf), PICKUP_END)
@@ -96,6 +102,11 @@ def retention_outcome(spark, sf):
     return _latest(spark, sf).withColumn("outcome", outcome("pickup", "refill_days", PICKUP_END))
 
 
+def retention_outcome_quarter(spark, sf):
+    return _latest(spark, sf).select(
+        "person_id", outcome("pickup", "refill_days", end_of_last_quarter(PICKUP_END)).alias("outcome"))
+
+
 def current_status(spark, sf):
     reasons = table(spark, sf, "customer").select(
         F.col("c_custkey").alias("person_id"),
@@ -180,8 +191,8 @@ def quarter_end(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     previous_distinct_date, previous_by_offset, previous_vs_global_max, last_before_quarter,
-    child_value, refill_before_latest, refill_at_previous, refill_before_quarter,
-    retention_outcome, current_status, appointment_status, next_visit, iit_date, iit_chance,
+    child_value, refill_before_latest, refill_before_latest_uncapped, refill_at_previous, refill_before_quarter,
+    retention_outcome, retention_outcome_quarter, current_status, appointment_status, next_visit, iit_date, iit_chance,
     months_of_refill, quarter_status, returned_to_care, previous_status, quarter_end)}
 
 _END = f"DATE '{PICKUP_END}'"
@@ -251,6 +262,12 @@ WHERE voided = 0 AND obs_datetime <= {_QUARTER} GROUP BY 1""",
 WITH {PICKUPS} SELECT person_id, obs_id, child_value FROM pickups LEFT JOIN refills ON group_id = obs_id""",
     "refill_before_latest": f"""
 WITH {PICKUPS}, {_BEFORE} SELECT person_id, group_id, child_value AS refill_days FROM before {_REFILL}""",
+    "refill_before_latest_uncapped": f"""
+WITH {PICKUPS}, uncapped AS (
+  SELECT g.person_id, max(g.obs_id) AS group_id FROM pickups g JOIN (
+    SELECT person_id, max(obs_datetime) AS top FROM pickups WHERE voided = 0 GROUP BY 1) t
+  ON g.person_id = t.person_id AND g.obs_datetime < t.top GROUP BY 1)
+SELECT person_id, group_id, child_value AS refill_days FROM uncapped {_REFILL}""",
     "refill_at_previous": f"""
 WITH {PICKUPS}, {_GLOBAL}, chosen AS (
   SELECT p.person_id, max(p.obs_id) AS group_id FROM pickups p JOIN previous_global g
@@ -260,6 +277,9 @@ SELECT person_id, group_id, child_value AS refill_days FROM chosen {_REFILL}""",
 WITH {PICKUPS}, {_BY_QUARTER}
 SELECT person_id, group_id, child_value AS refill_days FROM by_quarter {_REFILL}""",
     "retention_outcome": f"WITH {PICKUPS}, {_LATEST} SELECT *, {_OUTCOME} AS outcome FROM latest",
+    "retention_outcome_quarter": f"""
+WITH {PICKUPS}, {_LATEST} SELECT person_id,
+  CASE WHEN {_DUE} + 28 >= {_QUARTER} THEN 'Active' ELSE 'LTFU' END AS outcome FROM latest""",
     "current_status": f"""
 WITH {PICKUPS}, {_LATEST}
 SELECT latest.*, CASE WHEN c_acctbal < 0 THEN 'Death' END AS reason,

@@ -71,9 +71,7 @@ DATED = (c.ART_START, c.VIRAL_LOAD_REPORTED, c.OTZ_START, c.OTZ_STOP)
 # Person columns that merge by their largest value; the others by their smallest.
 _LARGEST = (
     "AgeAtStartOfARTYears", "AgeAtStartOfARTMonths", "TransferInStatus", "ARTStartDate",
-    "LastPickupDate", "last_visit", "DaysOfARVRefil", "PreviousLastPickupDate",
-    "PreviousDaysOfARVRefil", "LastPickupDatePreviousQuarter",
-    "DrugDurationPreviousQuarter", "InitialRegimenLine", "InitialRegimen",
+    "LastPickupDate", "last_visit", "DaysOfARVRefil", "InitialRegimenLine", "InitialRegimen",
     "CurrentRegimenLine", "PregnancyStatus", "CurrentViralLoad(c/ml)", "vl_reported",
     "LastViralLoadDate", "CurrentWeight_Kg", "weight_at", "CurrentHeight_Kg", "height_at",
     "TBStatus", "tb_at", "INHStartDate", "INHStopDate", "LastINHDispensedDate",
@@ -83,7 +81,8 @@ _LARGEST = (
 _SMALLEST = (
     "uuid", "PatientUniqueID", "ANCNoIdentifier", "HTSNo", "Sex", "Patient_Name",
     "Phone_No", "Patient_Address", "DOB", "CurrentRegimen", "LastDateOfSampleCollection",
-    "first_dtg",
+    "first_dtg", "PreviousLastPickupDate", "PreviousDaysOfARVRefil",
+    "LastPickupDatePreviousQuarter", "DrugDurationPreviousQuarter",
 )
 
 

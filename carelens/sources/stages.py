@@ -78,9 +78,12 @@ def read_baseline(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
 
 def write_line_list(df: DataFrame, path: str, fmt: str = "parquet",
                     partition_by: tuple[str, ...] = ("State",), mode: str = "error") -> None:
-    """Write a line list, as Parquet in one folder per state."""
+    """Write a line list, as Parquet in one folder per state.
+
+    Rows of a state come together before the write, in several tasks where it is large.
+    """
     if fmt == "parquet":
-        df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+        df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
     else:
         df.write.mode(mode).csv(path, header=True, emptyValue="")
 

@@ -51,7 +51,7 @@ def cell(value):
     if isinstance(value, decimal.Decimal):
         value = float(value)
     if isinstance(value, int | float):
-        return round(float(value), 6)
+        return float(value)
     if isinstance(value, dt.datetime):
         return value.isoformat(sep=" ")
     if isinstance(value, bytes | bytearray):
