@@ -63,7 +63,7 @@ def attach_parameters(df: DataFrame, properties: DataFrame, wanted: Mapping[str,
     rows = properties.filter(F.col(name).isin(*wanted.values())).groupBy(*keys).agg(*[
         F.max(F.when(F.col(name) == p, F.col(value))).alias(out) for out, p in wanted.items()])
     if keys:
-        return df.join(rows, keys, "left")
+        return match_many(df, rows, keys, keys)
     one = rows.select(F.struct(*wanted)).scalar()
     return df.withColumn("__settings", one).select("*", "__settings.*").drop("__settings")
 

@@ -12,6 +12,7 @@ from carelens.operators.lookups import lookup_baseline
 from carelens.operators.rows import drop_all_duplicates, suffix_duplicates
 from carelens.plans.concepts import ENDED_REPORTED
 from carelens.plans.report_columns import COMPARED_WITH_BASELINE, TAKEN_FROM_BASELINE
+from carelens.plans.rules import drop_helpers
 
 KEY = "__key"
 SUFFIX = "_baseline"
@@ -98,5 +99,4 @@ def newer_dates(df: DataFrame) -> DataFrame:
 
 def update_from_baseline(df: DataFrame) -> DataFrame:
     """Taken columns, then the value (which looks at the dates), then the dates."""
-    df = newer_dates(newer_viral_load(take_columns(df)))
-    return df.drop(*[c for c in df.columns if c.endswith(SUFFIX)])
+    return drop_helpers(newer_dates(newer_viral_load(take_columns(df))), SUFFIX)

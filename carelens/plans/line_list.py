@@ -21,7 +21,7 @@ from carelens.functions import (
     normalise_id,
 )
 from carelens.operators.filters import as_of, live
-from carelens.operators.keys import Keys, key_list, match
+from carelens.operators.keys import Keys, key_list, match, match_many
 from carelens.operators.latest import at_first, at_last, preferred_names
 from carelens.operators.lookups import (
     attach_demographics,
@@ -37,7 +37,7 @@ from carelens.operators.ordered import (
 from carelens.operators.summaries import care_entry_point, rollup_by_identifier
 from carelens.plans import concepts as c
 from carelens.plans.biometrics import biometric_status, hospital_numbers
-from carelens.plans.rules import previous_status, quarter_status, returned_to_care
+from carelens.plans.rules import drop_helpers, previous_status, quarter_status, returned_to_care
 from carelens.plans.tracking import pivot_tracking
 
 # The columns of a line list in order.
@@ -243,7 +243,7 @@ def attach_facility_columns(df: DataFrame, tables: Mapping[str, DataFrame], site
         F.min("state_name").alias("State"), F.min("lga_name").alias("LGA"))
     facility = match(settings, regions, "DatimCode", "datim_code")
     if s:
-        return df.join(facility, s, "left")
+        return match_many(df, facility, s, s)
     columns = ["DatimCode", "FaciityName", "State", "LGA"]
     one = facility.select(F.struct(*columns)).scalar()
     return df.withColumn("__facility", one).select("*", "__facility.*").drop("__facility")
@@ -391,4 +391,4 @@ def line_list(tables: Mapping[str, DataFrame], start_date: dt.date | str,
     rows = previous_status(rows, with_date=previous_status_date)
     if not previous_status_date:
         rows = rows.withColumn("PreviousARTStatusDate", F.lit(None).cast("timestamp_ntz"))
-    return rows.select(*s, *[F.col(f"`{x}`") for x in LINE_LIST_COLUMNS])
+    return drop_helpers(rows).select(*s, *[F.col(f"`{x}`") for x in LINE_LIST_COLUMNS])

@@ -26,6 +26,15 @@ def quarter_status(df: DataFrame, end_date: dt.date | str) -> DataFrame:
                          F.coalesce("PatientOutcomePreviousQuarter", computed))
 
 
+# Columns the rules need but a line list does not keep.
+HELPERS = ("PreviousLastPickupDate", "PreviousDaysOfARVRefil", "PreviousIITDate")
+
+
+def drop_helpers(df: DataFrame, suffix: str = "_baseline") -> DataFrame:
+    """Drop what only the rules needed, and the columns brought over to compare."""
+    return df.drop(*HELPERS, *[c for c in df.columns if c.endswith(suffix)])
+
+
 def previous_iit_date(df: DataFrame) -> DataFrame:
     return df.withColumn("PreviousIITDate",
                          iit_date("PreviousLastPickupDate", "PreviousDaysOfARVRefil"))
