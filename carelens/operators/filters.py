@@ -46,17 +46,21 @@ def has_identifier(df: DataFrame, identifier: str = "identifier",
     return df.filter(F.col(identifier).isNotNull() & (F.col(voided) == 0))
 
 
-def invalid_template(df: DataFrame, template: str = "template",
-                     new_template: str = "new_template",
-                     prefix: str = TEMPLATE_PREFIX) -> DataFrame:
-    """Captures of which either template has the wrong start.
-
-    A missing template says nothing: NULL OR true is true, NULL OR false is dropped.
-    """
+def wrong_template(df: DataFrame, template: str = "template",
+                   new_template: str = "new_template",
+                   prefix: str = TEMPLATE_PREFIX) -> Column:
+    """Whether either template has the wrong start; a missing one says nothing."""
     new = F.col(new_template)
     if dict(df.dtypes)[new_template] == "binary":
         new = F.decode(new, "UTF-8")
-    return df.filter(~F.col(template).startswith(prefix) | ~new.startswith(prefix))
+    return ~F.col(template).startswith(prefix) | ~new.startswith(prefix)
+
+
+def invalid_template(df: DataFrame, template: str = "template",
+                     new_template: str = "new_template",
+                     prefix: str = TEMPLATE_PREFIX) -> DataFrame:
+    """Captures of which either template has the wrong start (NULL OR true is true)."""
+    return df.filter(wrong_template(df, template, new_template, prefix))
 
 
 def in_window(ts: str, start: dt.date | str | Column, end: dt.date | str | Column) -> Column:

@@ -8,10 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelens.functions import format_date
-from carelens.operators.filters import has_identifier, invalid_template, live
+from carelens.operators.filters import has_identifier, live, wrong_template
 from carelens.operators.keys import Keys, key_list, match
-from carelens.operators.lookups import flag_exists
-from carelens.operators.summaries import first_capture, rollup_by_identifier
+from carelens.operators.summaries import rollup_by_identifier
 from carelens.plans.concepts import HOSPITAL_NUMBER, PROGRAM, UNIQUE_ID
 
 
@@ -36,10 +35,12 @@ def biometric_status(tables: Mapping[str, DataFrame], site: Keys = ()) -> DataFr
     enrolled = live(tables["patient_program"]).filter(F.col("program_id") == PROGRAM).groupBy(
         *patient).agg(F.min("date_enrolled").alias("EnrollmentDate"))
     rows = rows.join(unique_ids, patient, "left").join(enrolled, patient, "left")
+    # First capture and validity come from one scan: templates are wide.
     prints = tables["biometricinfo"]
-    rows = match(rows, first_capture(prints, captures), patient, captures)
-    rows = flag_exists(rows, invalid_template(prints), patient, captures,
-                       "ValidCapture", yes="No", no="Yes")
+    per_patient = prints.groupBy(*captures).agg(
+        F.min("date_created").alias("first_capture"),
+        F.max(wrong_template(prints)).alias("invalid"))
+    rows = match(rows, per_patient, patient, captures)
     again = tables["biometricverificationinfo"].groupBy(*captures).agg(
         F.max("date_created").alias("RecaptureDate"),
         F.min("recapture_count").alias("RecaptureCount"))
@@ -48,7 +49,7 @@ def biometric_status(tables: Mapping[str, DataFrame], site: Keys = ()) -> DataFr
     rows = rows.withColumns({
         "BiometricCaptured": F.when(captured, "Yes").otherwise("No"),
         "BiometricCaptureDate": F.col("first_capture").cast("date"),
-        "ValidCapture": F.when(captured, F.col("ValidCapture")).otherwise(""),
+        "ValidCapture": F.when(~captured, "").when(F.col("invalid"), "No").otherwise("Yes"),
     })
     rolled = rollup_by_identifier(rows, [*s, "PatientHospitalNo"], [], [
         "uuid", "PatientUniqueID", "EnrollmentDate", "RecaptureDate", "RecaptureCount",
