@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -36,11 +37,15 @@ def shared_folder(spark: SparkSession) -> str:
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="carelens-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _own_folder()
     return folder.rstrip("/")
 
 
+@functools.cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="carelens-checkpoint-")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to a table of its own in the shared folder and read it back.
 
