@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,21 +29,15 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own.
+    Where that is unset, a folder in the warehouse, which all executors share too; never a
+    folder of one machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = _own_folder()
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/carelens-work"
     return folder.rstrip("/")
 
 
-@functools.cache
-def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="carelens-checkpoint-")
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to a table of its own in the shared folder and read it back.
 

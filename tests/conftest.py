@@ -17,7 +17,8 @@ from carelens.sources import SCHEMAS  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     session = (
         SparkSession.builder.master("local[8]")
         .config("spark.ui.enabled", "false")
@@ -28,6 +29,8 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", str(shared / "checkpoints"))
+        .config("spark.sql.warehouse.dir", str(shared / "warehouse"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -2,14 +2,12 @@ from __future__ import annotations
 
 from types import SimpleNamespace
 
-import pytest
-
 from carelens.session import SETTINGS, cut_lineage, shared_folder
 
 
-def pretended(master, folder=None):
-    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: folder or default),
-                           sparkContext=SimpleNamespace(master=master))
+def pretended(folder=None):
+    held = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": "hdfs://x/warehouse"}
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: held[key] or default))
 
 
 def test_settings_are_applied(spark):
@@ -17,14 +15,11 @@ def test_settings_are_applied(spark):
 
 
 def test_the_cluster_names_the_shared_folder():
-    assert shared_folder(pretended("spark://host:7077", "hdfs://x/shared/")) == "hdfs://x/shared"
+    assert shared_folder(pretended("hdfs://x/shared/")) == "hdfs://x/shared"
 
 
-def test_only_a_local_session_gets_its_own_folder():
-    assert "carelens" in shared_folder(pretended("local[2]"))
-    assert shared_folder(pretended("local[2]")) == shared_folder(pretended("local[2]"))
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(pretended("spark://host:7077"))
+def test_without_it_tables_go_to_the_warehouse():
+    assert shared_folder(pretended()) == "hdfs://x/warehouse/carelens-work"
 
 
 def test_stored_rows_come_back_whole(spark):
