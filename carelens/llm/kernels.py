@@ -24,11 +24,13 @@ WHITE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit (the SplitMix64 finaliser)."""
-    x = np.asarray(x, dtype=_U)
+    x = np.array(x, dtype=_U)
     with np.errstate(over="ignore"):
-        x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-        return x ^ (x >> _U(31))
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x ^= x >> _U(shift)
+            x *= _U(factor)
+        x ^= x >> _U(31)
+    return x
 
 
 @functools.cache
@@ -73,6 +75,15 @@ def _power(base: int, n: int, name: str) -> np.ndarray:
     return have[:n]
 
 
+def span_hash(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of bytes, the same wherever the span stands."""
+    with np.errstate(over="ignore"):
+        sums = np.zeros(len(data) + 1, dtype=_U)
+        np.cumsum(_byte_values()[data] * _power(int(_BASE), len(data), "up"), out=sums[1:])
+        down = _power(pow(int(_BASE), -1, 1 << 64), len(data) + 1, "down")
+        return mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(_U))
+
+
 class Block:
     """Some rows of a text column; ``data`` holds their bytes, ``bounds`` where each begins."""
 
@@ -127,13 +138,7 @@ class Words:
 
     @functools.cached_property
     def hash(self) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            n = len(self.data)
-            sums = np.zeros(n + 1, dtype=_U)
-            np.cumsum(_byte_values()[self.data] * _power(int(_BASE), n, "up"), out=sums[1:])
-            down = _power(pow(int(_BASE), -1, 1 << 64), n + 1, "down")
-            word = (sums[self.end] - sums[self.start]) * down[self.start]
-            return mix(word + (self.end - self.start).astype(_U))
+        return span_hash(self.data, self.start, self.end)
 
     def runs(self, size: int, whole: bool) -> tuple[np.ndarray, np.ndarray]:
         """Row and hash of every run of ``size`` words in text order.

@@ -12,10 +12,14 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carelens.llm import languages, quality, toxicity
 from carelens.llm import token_counts as tc
+from carelens.llm.decontaminate import contamination
+from carelens.llm.fingerprints import compare_with_next
 from carelens.llm.jaccard_join import near_duplicates
 from carelens.llm.mixing import equal_weights, mix
 from carelens.llm.sharding import shard
+from carelens.llm.substring_dedup import repeated_passages
 from carelens.session import cut_lineage, shared_folder, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +52,21 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(ship(spark), sf_dir, "documents"), words=3, percent=90)
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and how alike they are."""
+    return compare_with_next(read(ship(spark), sf_dir, "documents"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned outside a fifth of the ids."""
+    docs = read(ship(spark), sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    model = languages.fit(languages.language_counts(docs.where(fold != 0)))
+    return languages.identify(docs, model).select(
+        "doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False)).alias("held_out"),
+        "lang_pred", "score", "mixture")
+
+
 WORDS = r"[^ \t\n\x0B\f\r]+"
 PIECES = r"\p{L}+|\p{N}|[^ \t\n\x0B\f\r\p{L}\p{N}]+"
 NOISE = r"[#$%&*|!]+"
@@ -122,6 +141,40 @@ from drawn, unnest(range(1, copies + 1)) as u(c)
 """
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that stand in several documents, in each of them."""
+    return repeated_passages(read(ship(spark), sf_dir, "documents"))
+
+
+def _predicted(rows: DataFrame, folds: int, held: int, least: float) -> DataFrame:
+    fold = F.crc32(F.col("doc_id").cast("string")) % folds
+    return rows.select("doc_id", F.coalesce(fold == held, F.lit(False)).alias("held_out"), "score",
+                       (F.col("score") >= least).cast("int").alias("predicted"))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned outside a fifth of the ids."""
+    docs, labels = (read(ship(spark), sf_dir, t) for t in ("documents", "labels"))
+    measured = cut_lineage(quality.measure(docs))
+    model = quality.fit(quality.labelled(measured, labels))
+    return _predicted(quality.scored(measured, model), 5, 0, 0.3)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned outside a third of the ids."""
+    docs, labels = (read(ship(spark), sf_dir, t) for t in ("documents", "labels"))
+    weights = toxicity.train(toxicity.sample(docs, labels))
+    return _predicted(toxicity.scored(docs, weights), 3, 1, 0.7)
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents hold 13 consecutive words of a benchmark item, and how much of them."""
+    docs, benchmark = (read(ship(spark), sf_dir, t) for t in ("documents", "benchmark"))
+    return contamination(docs, benchmark).select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
 def op10_hypergeometric_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of equal rows, in uniformly random order."""
     docs = read(tune(spark), sf_dir, "documents").select(
@@ -133,5 +186,7 @@ def op10_hypergeometric_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_jaccard_join, op4_token_counts, op5_poisson_mixing, op10_hypergeometric_sharding)}
+    op1_jaccard_join, op2_fingerprints, op3_language_id, op4_token_counts, op5_poisson_mixing,
+    op6_substring_dedup, op7_quality_classifier, op8_toxicity, op9_decontamination,
+    op10_hypergeometric_sharding)}
 ORACLE: dict[str, str] = {"op4_token_counts": SQL4, "op5_poisson_mixing": SQL5}
