@@ -46,9 +46,9 @@ def _term_counts(docs: DataFrame, terms: np.ndarray) -> DataFrame:
     """term, times: how often the sorted ``terms`` stand in all documents."""
 
     def function(batch: pa.RecordBatch) -> Iterator[dict]:
-        times = np.zeros(len(terms), dtype=np.int64)
+        times, table = np.zeros(len(terms), dtype=np.int64), K.Lookup(terms)
         for block in K.blocks(batch.column("text")):
-            at, found = _lookup(K.Words(block, K.alnum_words()).hash, terms)
+            at, found = table.find(K.Words(block, K.alnum_words()).hash)
             times += np.bincount(at[found], minlength=len(terms))
         some = np.flatnonzero(times)
         yield {"term": K.signed(terms[some]), "times": times[some]}
@@ -57,20 +57,6 @@ def _term_counts(docs: DataFrame, terms: np.ndarray) -> DataFrame:
     return counted.groupBy("term").agg(F.sum("times").alias("times"))
 
 
-def _lookup(values: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Place of each value in the sorted terms, and whether it is there."""
-    if not len(terms):
-        return np.zeros(len(values), dtype=np.int64), np.zeros(len(values), dtype=bool)
-    # A table of the leading 16 bits tells most words that are no term apart, cheaply.
-    first = np.zeros(1 << 16, dtype=bool)
-    first[terms >> np.uint64(48)] = True
-    found = first[values >> np.uint64(48)]
-    at = np.zeros(len(values), dtype=np.int64)
-    at[found] = np.minimum(np.searchsorted(terms, values[found]), len(terms) - 1)
-    found &= terms[at] == values
-    return at, found
-
-
 INDEXED = "doc_id long, n_words long, digest long, postings array<struct<term: long, position: int>>"
 
 
@@ -78,9 +64,10 @@ def _index(docs: DataFrame, terms: np.ndarray) -> DataFrame:
     """A row for each document: its words, a digest of them and the postings of ``terms``."""
 
     def function(batch: pa.RecordBatch) -> Iterator[dict]:
+        table = K.Lookup(terms)
         for block in K.blocks(batch.column("text")):
             words = K.Words(block, K.alnum_words())
-            at, found = _lookup(words.hash, terms)
+            at, found = table.find(words.hash)
             hit = np.flatnonzero(found)
             place = hit - words.upto[:-1][words.row[hit]]
             each = pa.StructArray.from_arrays(

@@ -164,6 +164,24 @@ class Words:
         return begin, self.row[begin], np.minimum(left[begin], size)
 
 
+class Lookup:
+    """Finds 64-bit values in a sorted table; a bitmap of leading bits tells most others apart."""
+
+    def __init__(self, table: np.ndarray, bits: int = 20):
+        self.table, self.shift = table, _U(64 - bits)
+        self.first = np.zeros(1 << bits, dtype=bool)
+        self.first[table >> self.shift] = True
+
+    def find(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each value in the table, and whether it is there."""
+        found = self.first[values >> self.shift]
+        at = np.zeros(len(values), dtype=np.int64)
+        if len(self.table):
+            at[found] = np.minimum(np.searchsorted(self.table, values[found]), len(self.table) - 1)
+            found &= self.table[at] == values
+        return at, found
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
