@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelens.llm import kernels as K
+from carelens.llm.joins import rows_of
 from carelens.session import cut_lineage
 
 #: Consecutive words that have to be equal.
@@ -166,8 +167,7 @@ class PositionalIndex:
     def phrases(self) -> DataFrame:
         """doc_id, digest, n_hit and items: words that exact windows cover, and their items."""
         wanted = cut_lineage(self.alignments())
-        docs = self.docs.join(wanted.select(F.col("doc_id").alias("wanted")).distinct(),
-                              F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
+        docs = rows_of(self.docs, wanted.select("doc_id"))
         words = _digested(docs).dropDuplicates(["doc_id", "digest"])
         listed = wanted.join(self.items.select("item_row", "item", F.col("words").alias("phrase")), "item_row") \
             .groupBy("doc_id", "digest").agg(F.collect_list(F.struct("item", "phrase", "shift")).alias("found"))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelens.llm import kernels as K
+from carelens.llm.joins import rows_of
 from carelens.session import cut_lineage
 
 #: Bytes of a chunk: at least, at most, and zero bits at a cut (so 16 more on average).
@@ -172,7 +173,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                  F.greatest(F.col("left_begin") - AROUND, F.lit(0)).alias("from"), F.col("left_begin").alias("to")),
         F.struct(F.lit("right").alias("kind"), F.col("right_key").alias("key"), F.col("right_finish").alias("from"),
                  (F.col("right_finish") + AROUND).alias("to")))).alias("ask")).select("run_id", "ask.*")
-    texts = _keyed(docs).join(asked.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
+    texts = rows_of(_keyed(docs), asked.select("key"), "key")
     part = F.substring(F.col("text").cast("binary"), F.col("from") + 1, F.col("to") - F.col("from"))
     got = texts.join(asked, "key").select("run_id", "kind", "doc_id", part.alias("bytes"))
     wide = got.groupBy("run_id").agg(

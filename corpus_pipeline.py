@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from carelens.llm import quality
 from carelens.llm.decontaminate import contamination
 from carelens.llm.jaccard_join import near_duplicates
+from carelens.llm.joins import rows_of
 from carelens.llm.mixing import equal_weights, mix
 from carelens.llm.queries import read, ship
 from carelens.llm.sharding import shard
@@ -31,24 +32,19 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.keep_good(docs, model, LEAST_QUALITY)
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Documents whose id is none of ``ids``; a null id is one of them only if null is."""
-    gone = ids.select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
-
-
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five words, 0.8), the document with the smallest id."""
     ship(spark)
     groups = near_duplicates(docs, words=5, percent=80)
-    return _without(docs, groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))))
+    return rows_of(
+        docs, groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id"), how="left_anti")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that benchmark items do not contaminate."""
     ship(spark)
     found = contamination(docs, read(spark, sf_dir, "benchmark"))
-    return _without(docs, found.where("contaminated"))
+    return rows_of(docs, found.where("contaminated").select("doc_id"), how="left_anti")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
