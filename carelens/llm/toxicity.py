@@ -24,7 +24,7 @@ from carelens.session import cut_lineage
 BITS = 19
 #: Labelled documents that training takes at most: those of the smallest hashes of their ids.
 SAMPLE = 30_000
-SHARDS, ROUNDS = 4, 8
+SHARDS, ROUNDS, PASSES = 2, 3, 2
 
 
 @dataclass(frozen=True)
@@ -94,32 +94,43 @@ def sample(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> DataFrame
     return cut_lineage(rows.withColumn("shard", F.pmod(order, F.lit(SHARDS)).cast("int")).withColumn("place", order))
 
 
-STATE = "at int, z double, n double"
+STATE = "shard int, moved array<int>, z array<double>, n array<double>"
 
 
 def train(rows: DataFrame, rounds: int = ROUNDS, ftrl: Ftrl = Ftrl()) -> np.ndarray:
-    """Weights of all coordinates after some rounds over the shards; zeros without rows."""
+    """Weights of all coordinates after some rounds over the shards; zeros without rows.
+
+    A round brings the state of each shard to the driver: SHARDS times 10 MB at most.
+    """
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     for _ in range(rounds):
-        parts = rows.groupBy("shard").applyInArrow(_round(z, n, ftrl), STATE)
-        moved = parts.groupBy("at").agg(F.avg("z").alias("z"), F.avg("n").alias("n")).toArrow()
-        at = moved["at"].to_numpy()
-        z, n = z.copy(), n.copy()
-        z[at] += moved["z"].to_numpy()
-        n[at] += moved["n"].to_numpy()
+        parts = rows.groupBy("shard").applyInArrow(_round(z, n, ftrl), STATE).toArrow()
+        z, n, by = z.copy(), n.copy(), np.zeros(len(z))
+        steps = [(m.values.to_numpy(), a.values.to_numpy(), b.values.to_numpy()) for m, a, b in zip(
+            parts["moved"], parts["z"], parts["n"], strict=True)]
+        for at, _, _ in steps:
+            by[at] += 1
+        for at, dz, dn in steps:
+            z[at] += dz / by[at]
+            n[at] += dn / by[at]
     return ftrl.weights(z, n)
 
 
 def _round(z0: np.ndarray, n0: np.ndarray, ftrl: Ftrl):
-    """Learn the documents of a shard in their order; gives what the state moved by."""
+    """Learn the documents of a shard in their order, PASSES times; gives what the state moved by."""
 
     def learn(table: pa.Table) -> pa.Table:
         z, n = z0.copy(), n0.copy()
         table = table.sort_by([("place", "ascending"), ("doc_id", "ascending")])
-        for label, at in zip(table["label"].to_pylist(), table["grams"], strict=True):
-            ftrl.learn(z, n, at.values.to_numpy(), label)
-        new = np.flatnonzero((z != z0) | (n != n0)).astype(np.int32)
-        return pa.table({"at": new, "z": (z - z0)[new], "n": (n - n0)[new]})
+        labels = table["label"].to_pylist()
+        grams = [at.values.to_numpy() for at in table["grams"]]
+        for _ in range(PASSES):
+            for label, at in zip(labels, grams, strict=True):
+                ftrl.learn(z, n, at, label)
+        moved = np.flatnonzero((z != z0) | (n != n0)).astype(np.int32)
+        state = [K.list_array(v, np.array([len(moved)])) for v in (moved, (z - z0)[moved], (n - n0)[moved])]
+        return pa.table([table["shard"].combine_chunks().slice(0, 1), *state],
+                        names=["shard", "moved", "z", "n"])
 
     return learn
 
