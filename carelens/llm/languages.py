@@ -24,7 +24,9 @@ from carelens.llm import kernels as K
 BUCKETS = 1 << 15
 #: Languages in one document that are tried; those beyond have the smallest proportions.
 MOST = 4
-ROUNDS = 12
+ROUNDS = 10
+#: Rows whose n-grams are counted in one table of BUCKETS numbers each.
+DENSE_ROWS = 64
 #: Likelihood that another language has to add, in units of log(n-grams) / 2.
 PENALTY = 4.0
 UNKNOWN = "und"
@@ -88,7 +90,18 @@ def _ngrams(points, row, n, is_letter, lower):
 def counted(block: K.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Row, bucket and count of the distinct n-grams of each row, and which rows have letters."""
     row, bucket, has = ngrams(block)
-    key, count = np.unique(row * BUCKETS + bucket, return_counts=True)
+    per_row = len(row) // 3  # the letters, once for each order
+    letters = np.searchsorted(row[:per_row], np.arange(0, block.n + DENSE_ROWS, DENSE_ROWS))
+    keys, counts = [], []
+    for k, (low, high) in enumerate(zip(letters, letters[1:], strict=False)):
+        first = k * DENSE_ROWS
+        at = np.concatenate([np.arange(low, high) + order * per_row for order in range(3)])
+        dense = np.bincount((row[at] - first) * BUCKETS + bucket[at])
+        some = np.flatnonzero(dense)
+        keys.append(some + first * BUCKETS)
+        counts.append(dense[some])
+    key = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+    count = np.concatenate(counts) if counts else np.zeros(0, np.int64)
     return key // BUCKETS, key % BUCKETS, count, has
 
 
@@ -120,36 +133,72 @@ class LanguageModel:
 
     def infer(self, row: np.ndarray, bucket: np.ndarray, count: np.ndarray, n: int,
               penalty: float = PENALTY) -> np.ndarray:
-        """Proportions of the languages (columns) in each row; all 0 without n-grams."""
-        likely = self.likely[bucket]
-        size = np.bincount(row, count, minlength=n)
-        single = np.stack([np.bincount(row, count * np.log(likely[:, k]), minlength=n)
-                           for k in range(len(self.names))], axis=1)
+        """Proportions of the languages (columns) in each row; all 0 without n-grams.
+
+        ``row`` is sorted.  All languages together are at least as likely as any set of them,
+        so rows where that gains no penalty's worth over the best one alone are settled.
+        """
         best = np.zeros((n, len(self.names)))
-        best[np.arange(n), single.argmax(axis=1)] = 1.0
+        size = np.bincount(row, count, minlength=n)
+        here = np.flatnonzero(size > 0)
+        if not len(here):
+            return best
+        data = _Sample(np.searchsorted(row, np.append(here, n)), self.likely[bucket].T.copy(),
+                       count.astype(float), size[here])
+        single = np.stack([data.sums(data.count * np.log(p)) for p in data.likely], axis=1)
+        top = single.argmax(axis=1)
         value = single.max(axis=1)
-        every, _ = self._maximise(row, likely, count, np.ones_like(best), size)
+        share = np.zeros_like(single)
+        share[np.arange(len(here)), top] = 1.0
+        cost = penalty * np.log(np.maximum(data.size, 2)) / 2
+        every, found = data.maximise(np.ones_like(single))
         order = np.argsort(-every, axis=1, kind="stable")
+        open_ = np.flatnonzero(found - cost > value)
         for k in range(2, min(MOST, len(self.names)) + 1):
-            allowed = np.zeros_like(best)
-            np.put_along_axis(allowed, order[:, :k], 1.0, axis=1)
-            share, found = self._maximise(row, likely, count, allowed, size)
-            found = found - penalty * (k - 1) * np.log(np.maximum(size, 2)) / 2
-            better = found > value
-            best[better], value[better] = share[better], found[better]
-        best[size == 0] = 0.0
+            if not len(open_):
+                break
+            allowed = np.zeros((len(open_), len(self.names)))
+            np.put_along_axis(allowed, order[open_, :k], 1.0, axis=1)
+            if k == len(self.names):
+                some, likely = every[open_], found[open_]
+            else:
+                some, likely = data.part(open_).maximise(allowed)
+            likely = likely - (k - 1) * cost[open_]
+            better = likely > value[open_]
+            at = open_[better]
+            share[at], value[at] = some[better], likely[better]
+        best[here] = share
         return best
 
-    def _maximise(self, row, likely, count, allowed, size):
+
+class _Sample:
+    """n-grams of some rows one after another: where each row begins, likelihoods by language."""
+
+    def __init__(self, begin: np.ndarray, likely: np.ndarray, count: np.ndarray, size: np.ndarray):
+        self.begin, self.likely, self.count, self.size = begin, likely, count, size
+        self.length = np.diff(begin)
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(values, self.begin[:-1])
+
+    def part(self, rows: np.ndarray) -> _Sample:
+        keep = np.zeros(len(self.length), dtype=bool)
+        keep[rows] = True
+        each = np.repeat(keep, self.length)
+        begin = np.concatenate(([0], np.cumsum(self.length[rows])))
+        return _Sample(begin, self.likely[:, each], self.count[each], self.size[rows])
+
+    def maximise(self, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Proportions and log likelihood after ROUNDS of expectation-maximisation."""
         share = allowed / allowed.sum(axis=1, keepdims=True)
-        some = np.maximum(size, 1e-9)
-        for _ in range(ROUNDS):
-            part = share[row] * likely
-            part *= (count / part.sum(axis=1))[:, None]
-            share = np.stack([np.bincount(row, part[:, k], minlength=len(size)) for k in
-                              range(part.shape[1])], axis=1) / some[:, None]
-        return share, np.bincount(row, count * np.log((share[row] * likely).sum(axis=1) + 1e-300),
-                                  minlength=len(size))
+        for k in range(ROUNDS + 1):
+            parts = [np.repeat(share[:, j], self.length) * p for j, p in enumerate(self.likely)]
+            total = np.sum(parts, axis=0)
+            if k == ROUNDS:
+                return share, self.sums(self.count * np.log(total))
+            weight = self.count / total
+            share = np.stack([self.sums(p * weight) for p in parts], axis=1) / self.size[:, None]
+        raise AssertionError
 
 
 def fit(counts: DataFrame, smoothing: float = 0.5) -> LanguageModel:
