@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -193,8 +193,7 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     cuts = sorted({int(c) for c in ids.approxQuantile(
         "doc_id", [k / ranges for k in range(1, ranges)], 0.1 / ranges)}) if ranges > 1 else []
     # The range of an id: how many cuts are at most as large; a null id is in the first.
-    held = F.array(*(F.lit(c).cast("long") for c in cuts)) if cuts else F.array().cast("array<long>")
-    at = _range(held, len(cuts))
+    at = _range(cuts)
     placed = rows.withColumn("range", at)
     first_ids = placed.groupBy("range").agg(
         F.min_by("doc_id", F.struct(F.col("doc_id").isNotNull(), "doc_id")).alias("first_id"))
@@ -215,16 +214,19 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     return lined.mapInArrow(lambda batches: _walk(batches, schema), COMPARED)
 
 
-def _range(cuts, n):
+def _range(cuts: list[int]) -> Column:
     """Binary search in SQL: as many steps as the number of cuts has binary digits."""
-    low = F.lit(0)
-    step = 1 << max(0, n.bit_length() - 1)
-    while step and n:
-        there = low + F.lit(step)
-        low = F.when((there <= n) & (F.col("doc_id") >= F.element_at(cuts, F.least(there, F.lit(n)))), there) \
-            .otherwise(low)
-        step >>= 1
-    return low.cast("int")
+    if not cuts:
+        return F.lit(0)
+    steps = [1 << k for k in reversed(range(len(cuts).bit_length()))]
+    held = F.array(*(F.lit(c).cast("long") for c in cuts))
+
+    def further(low: Column, step: Column) -> Column:
+        fits = (low + step <= len(cuts)) & (
+            F.element_at(held, F.least(low + step, F.lit(len(cuts)))) <= F.col("doc_id"))
+        return F.when(fits, low + step).otherwise(low)
+
+    return F.aggregate(F.array(*(F.lit(s) for s in steps)), F.lit(0), further)
 
 
 def _walk(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
