@@ -99,7 +99,7 @@ class PositionalIndex:
         self.docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
         texts = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string"))
         self.items = cut_lineage(
-            _word_lists(texts, "text", "item").where("size(words) > 0")
+            _word_lists(texts, "text", "item").where("item is not null and size(words) > 0")
             .withColumn("item_row", F.monotonically_increasing_id()))
         blocks = self._blocks()
         parts = [self._seeds(block, seeds) for block in blocks]
@@ -188,11 +188,11 @@ class PositionalIndex:
         chosen = chosen.withColumn("all", F.max("rank").over(Window.partitionBy("item_row")))
         placed = self.postings.join(chosen, "term").select(
             "doc_id", "digest", "item_row", "rank", "all", "position")
-        rarest = placed.where("rank = 1").select("doc_id", "digest", "item_row",
-                                                 F.col("position").alias("at"))
+        rarest = placed.where("rank = 1").select(
+            F.col("doc_id").alias("of_doc"), "digest", "item_row", F.col("position").alias("at"))
         near = rarest.join(placed, ["digest", "item_row"]).where(
-            rarest.doc_id.eqNullSafe(placed.doc_id) & F.expr(f"abs(position - at) < {within}"))
-        return near.groupBy(rarest.doc_id, "digest", "item_row", "at").agg(
+            F.col("of_doc").eqNullSafe(F.col("doc_id")) & F.expr(f"abs(position - at) < {within}"))
+        return near.groupBy("doc_id", "digest", "item_row", "at").agg(
             F.countDistinct("rank").alias("met"), F.max("all").alias("all"),
             F.min("position").alias("first"), F.max("position").alias("last")) \
             .where("met = all").join(self.items.select("item_row", "item"), "item_row") \

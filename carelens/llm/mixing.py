@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carelens.session import cut_lineage
+
 #: Sources whose tables of the law are broadcast; with more, documents are joined with them.
 BROADCAST_SOURCES = 2_000
 SEED = "mix-1"
@@ -38,11 +40,13 @@ def repetition_rates(docs: DataFrame, weights: DataFrame, epochs: float = 1.0) -
     wanted = weights.groupBy(F.col("source").alias("wanted")).agg(F.sum("weight").alias("weight"))
     both = sizes.join(wanted, F.col("source").eqNullSafe(F.col("wanted")), "left").select(
         "source", "size", F.coalesce(F.col("weight").cast("double"), F.lit(0.0)).alias("weight"))
-    total = both.agg(F.sum("size").alias("all_size"), F.sum("weight").alias("all_weight"))
-    share = F.col("weight") / F.col("all_weight") * F.col("all_size") / F.col("size") * F.lit(float(epochs))
-    return both.join(F.broadcast(total)).select(
+    both = cut_lineage(both)
+    total = both.agg(F.sum("size").alias("size"), F.sum("weight").alias("weight")).first()
+    share = F.col("weight") / F.lit(float(total.weight or 1)) * F.lit(float(total.size or 0)) / F.col("size")
+    return both.select(
         "source", "size", "weight",
-        F.when((F.col("size") > 0) & (F.col("weight") > 0), share).otherwise(0.0).alias("rate"))
+        F.when((F.col("size") > 0) & (F.col("weight") > 0), share * F.lit(float(epochs))).otherwise(0.0)
+        .alias("rate"))
 
 
 def poisson_law(rates: DataFrame) -> DataFrame:
