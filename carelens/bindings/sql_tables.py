@@ -171,13 +171,13 @@ biometricinfo AS (
          CASE WHEN o_totalprice > 60000 THEN 'Rk1S' ELSE 'Zz1S' END || o_orderkey AS template,
          CASE WHEN o_orderstatus <> 'O' THEN
            CASE WHEN o_totalprice < 440000 THEN 'Rk1S' ELSE 'Zz1S' END || o_orderkey END AS new_template
-  FROM orders WHERE o_orderpriority = '1-URGENT'),
+  FROM orders),
 biometricverificationinfo AS (
   SELECT o_custkey AS patient_id, o_orderdate AS date_created,
          CAST(floor(o_totalprice / 100000) AS INTEGER) AS recapture_count,
          o_orderstatus AS finger,
          CASE WHEN o_totalprice <= 400000 THEN CAST(floor(o_totalprice / 4000) AS INTEGER) END AS quality
-  FROM orders WHERE o_orderpriority = '5-LOW'),
+  FROM orders),
 users AS (SELECT s_suppkey AS user_id, s_suppkey AS person_id FROM supplier),
 names AS (
   SELECT concept_id, max(name) AS name FROM concept_name

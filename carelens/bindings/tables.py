@@ -255,8 +255,7 @@ def clinical_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
     code = F.col("r_regionkey")
     price = F.col("o_totalprice")
-    prints = orders.filter(F.col("o_orderpriority") == "1-URGENT")
-    again = orders.filter(F.col("o_orderpriority") == "5-LOW")
+    prints = again = orders
     order_text = F.col("o_orderkey").cast("string")
     tables = {
         "patient": customer.select(key.alias("patient_id"), flag(balance < -900).alias("voided")),

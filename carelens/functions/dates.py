@@ -51,8 +51,8 @@ def age_at_start(dob: Column | str, start: Column | str) -> tuple[Column, Column
 
 
 def next_visit(pickup: Column | str, refill_days: Column | str) -> Column:
-    """The day the dispensed refill runs out."""
-    return F.date_add(column(pickup).cast("date"), column(refill_days).cast("int"))
+    """The day the dispensed refill runs out; a fraction of a day is rounded."""
+    return F.date_add(column(pickup).cast("date"), F.round(column(refill_days)).cast("int"))
 
 
 def days_to_schedule(pickup: Column | str, refill_days: Column | str,

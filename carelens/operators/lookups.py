@@ -71,10 +71,10 @@ def attach_parameters(df: DataFrame, properties: DataFrame, wanted: Mapping[str,
 def attach_facility(df: DataFrame, mapping: DataFrame, code: str = "DatimCode",
                     mapping_code: str = "datim_code",
                     columns: Mapping[str, str] | None = None) -> DataFrame:
-    """Facility code to its region names."""
+    """Facility code to its region names, all from the smallest row of a repeated code."""
     columns = columns or {"State": "state_name", "LGA": "lga_name"}
-    one = mapping.groupBy(mapping_code).agg(
-        *[F.min(source).alias(out) for out, source in columns.items()])
+    row = F.struct(*[F.col(source).alias(out) for out, source in columns.items()])
+    one = mapping.groupBy(mapping_code).agg(F.min(row).alias("__row")).select(mapping_code, "__row.*")
     return match_many(df, one, code, mapping_code)
 
 

@@ -48,16 +48,21 @@ def suffix_duplicates(df: DataFrame, key: str, order: Sequence[str], out: str |
     """Append ``_A``, ``_B``, ... to every member of a repeated key.
 
     The 27th and later members get NULL: there is no letter left.  Only the first 26
-    rows of a key have to meet in one task, and Spark cuts each task's rows to 26 per
-    key before the shuffle; all other rows of the key are told by their absence.
-    ``order`` has to be unique within a key.
+    rows of a key and the next have to meet in one task, and Spark cuts each task's rows to
+    so many per key before the shuffle; all other rows of the key are told by their absence.
+    ``order`` has to be unique within a key: rows that tie where letters are given fail.
     """
-    by = [F.col(c) for c in order]
-    ranked = df.select(key, *order).withColumn(
-        "__rank", F.row_number().over(Window.partitionBy(key).orderBy(*by)))
-    first = ranked.filter(F.col("__rank") <= LETTERS).withColumn(
-        "__n", F.count("*").over(Window.partitionBy(key)))
     names = [key, *order]
+    cells = [F.col(f"`{c}`") for c in names]
+    by = Window.partitionBy(cells[0]).orderBy(*cells[1:])
+    ranked = df.select(*cells).withColumn("__rank", F.row_number().over(by))
+    first = ranked.filter(F.col("__rank") <= LETTERS + 1)
+    place = F.struct(*cells[1:])
+    tie = cells[0].isNotNull() & (F.col("__rank") > 1) & place.eqNullSafe(F.lag(place).over(by))
+    repeated = F.raise_error(F.lit("suffix_duplicates: order repeats within a key")).cast("int")
+    first = first.withColumn("__tie", F.when(tie, repeated).otherwise(F.col("__rank")))
+    first = first.withColumn("__n", F.count("*").over(Window.partitionBy(cells[0])))
+    first = first.withColumn("__rank", F.when(F.col("__tie") <= LETTERS, F.col("__rank")))
     left = df.withColumns({f"__k{i}": F.col(f"`{c}`") for i, c in enumerate(names)})
     right = first.select("__rank", "__n", *[F.col(f"`{c}`").alias(f"__r{i}") for i, c in enumerate(names)])
     same = F.lit(True)

@@ -240,7 +240,8 @@ def attach_facility_columns(df: DataFrame, tables: Mapping[str, DataFrame], site
         F.max(F.when(name == c.DATIM_PROPERTY, value)).alias("DatimCode"),
         F.max(F.when(name == c.FACILITY_PROPERTY, value)).alias("FaciityName"))
     regions = tables["nigeria_datimcode_mapping"].groupBy("datim_code").agg(
-        F.min("state_name").alias("State"), F.min("lga_name").alias("LGA"))
+        F.min(F.struct(F.col("state_name").alias("State"), F.col("lga_name").alias("LGA"))).alias("__row")) \
+        .select("datim_code", "__row.*")
     facility = match(settings, regions, "DatimCode", "datim_code")
     if s:
         return match_many(df, facility, s, s)

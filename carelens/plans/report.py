@@ -219,8 +219,9 @@ def programme_report_with_baseline(line_list: DataFrame, base: DataFrame,
                                    key_sep: str = "") -> DataFrame:
     """The report of a line list, updated from an earlier report."""
     df = _prepared(line_list, order)
+    # Letters of repeated keys follow the serial number: it is unique where ``order`` may tie.
     df = merge_baseline(df, blank_to_null(base), end_date, reactivate_from_baseline,
-                        order, key_sep)
+                        ("S/N.",), key_sep)
     df = interruption_chance(df, end_date)
     if status_source == "previous":
         df = previous_names(df)

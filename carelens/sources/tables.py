@@ -35,6 +35,10 @@ SCHEMAS: dict[str, str] = {
 }
 # The large tables and the id a parallel database read is split on.
 SPLIT_ON = {
+    "patient": "patient_id",
+    "person_address": "person_id",
+    "patient_program": "patient_id",
+    "users": "user_id",
     "obs": "obs_id",
     "encounter": "encounter_id",
     "patient_identifier": "patient_id",
@@ -49,18 +53,23 @@ SPLIT_ON = {
 def load_clinical(spark: SparkSession, src: str | Mapping[str, str], *,
                   site: str | None = None,
                   bounds: Mapping[str, tuple[int, int]] | None = None,
-                  num_partitions: int = 64) -> dict[str, DataFrame]:
+                  num_partitions: int = 64,
+                  one_partition: bool = False) -> dict[str, DataFrame]:
     """The clinical tables from a folder of Parquet tables or from a database.
 
     ``src`` is the folder, or the connection options of a database reader
     (``url``, ``user``, ...).  ``bounds`` gives the lowest and highest id of the large
-    tables, so that their read is split into ``num_partitions`` ranges.  ``site``
+    tables, so that their read is split into ``num_partitions`` ranges; a large table
+    without them is an error, unless ``one_partition`` says that one task may read it.  ``site``
     names a facility column that all tables carry when several facilities share them.
     """
     extra = f"{site} string, " if site else ""
     if isinstance(src, str):
         return {t: spark.read.schema(extra + schema).parquet(f"{src}/{t}")
                 for t, schema in SCHEMAS.items()}
+    unbounded = sorted(SPLIT_ON.keys() & SCHEMAS.keys() - (bounds or {}).keys())
+    if unbounded and not one_partition:
+        raise ValueError(f"give bounds of the ids of {', '.join(unbounded)}, or one_partition=True")
     tables = {}
     for table, schema in SCHEMAS.items():
         reader = spark.read.format("jdbc").options(**src).option("dbtable", table)

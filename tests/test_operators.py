@@ -228,3 +228,16 @@ def test_refills_at_and_before(spark):
     uncapped = ordered.refill_before_latest(pick, groups, values, "2024-01-15", capped=False).first()
     assert uncapped["group_id"] == 90
     assert ordered.refill_before_latest(pick, groups, values, "2024-01-01").collect() == []
+
+
+def test_suffix_duplicates_fails_on_ties(spark):
+    data = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1)], "key string, n int")
+    with pytest.raises(Exception, match="order repeats within a key"):
+        rows.suffix_duplicates(data, "key", ["n"]).collect()
+
+
+def test_facility_columns_come_from_one_row(spark):
+    mapping = spark.createDataFrame([("X", "Kano", "X1"), ("X", "Abia", "Z9")],
+                                    "datim_code string, state_name string, lga_name string")
+    found = lookups.attach_facility(spark.createDataFrame([("X",)], "DatimCode string"), mapping).first()
+    assert (found.State, found.LGA) == ("Abia", "Z9")

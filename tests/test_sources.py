@@ -68,3 +68,10 @@ def test_unreadable_cells_are_missing(spark, tmp_path):
     row = sources.read_line_list(spark, f"{tmp_path}/list.csv", "csv").first()
     assert (row["DOB"], row["Age"], row["Sex"]) == (None, None, None)
     assert row["LastPickupDate"] == at("2024-06-05")
+
+
+def test_a_database_is_never_read_in_one_task_unasked(spark):
+    with pytest.raises(ValueError, match="one_partition"):
+        sources.load_clinical(spark, {"url": "jdbc:none"})
+    with pytest.raises(ValueError, match="patient_program"):
+        sources.load_clinical(spark, {"url": "jdbc:none"}, bounds={"obs": (1, 2)})
