@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import corpus_pipeline
-from test_operators import contaminated_by_force, groups_by_force
+from test_llm_operators import contaminated_by_force, groups_by_force
 
 from carelens.llm import queries
 
