@@ -7,28 +7,30 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelens.functions import format_date
+from carelens.functions import format_date, normalise_id
 from carelens.operators.filters import has_identifier, live, wrong_template
 from carelens.operators.keys import Keys, key_list, match
 from carelens.operators.summaries import rollup_by_identifier
 from carelens.plans.concepts import HOSPITAL_NUMBER, PROGRAM, UNIQUE_ID
 
 
-def hospital_numbers(identifiers: DataFrame, site: Keys = ()) -> DataFrame:
+def hospital_numbers(identifiers: DataFrame, site: Keys = (), normalise_ids: bool = False) -> DataFrame:
     """Live hospital numbers; a patient who has several gets a row for each."""
     s = key_list(site)
     rows = has_identifier(identifiers).filter(F.col("identifier_type") == HOSPITAL_NUMBER)
-    return rows.groupBy(*s, "patient_id", F.col("identifier").alias("PatientHospitalNo")).agg(
+    number = normalise_id("identifier") if normalise_ids else F.col("identifier")
+    return rows.groupBy(*s, "patient_id", number.alias("PatientHospitalNo")).agg(
         F.min("uuid").alias("uuid"))
 
 
-def biometric_status(tables: Mapping[str, DataFrame], site: Keys = ()) -> DataFrame:
+def biometric_status(tables: Mapping[str, DataFrame], site: Keys = (),
+                     normalise_ids: bool = False) -> DataFrame:
     """Enrolment, capture, recapture and validity of prints per hospital number."""
     s = key_list(site)
     patient = [*s, "patient_id"]
     captures = [*s, "patient_Id"]
     rows = live(tables["patient"]).select(*patient).join(
-        hospital_numbers(tables["patient_identifier"], s), patient)
+        hospital_numbers(tables["patient_identifier"], s, normalise_ids), patient)
     unique_ids = live(tables["patient_identifier"]).filter(
         F.col("identifier_type") == UNIQUE_ID).groupBy(*patient).agg(
         F.min("identifier").alias("PatientUniqueID"))

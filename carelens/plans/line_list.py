@@ -18,7 +18,6 @@ from carelens.functions import (
     end_of_last_quarter,
     format_date,
     next_visit,
-    normalise_id,
 )
 from carelens.operators.filters import as_of, live
 from carelens.operators.keys import Keys, key_list, match, match_many
@@ -298,11 +297,9 @@ def hospital_rows(tables: Mapping[str, DataFrame], end_date: dt.date | str,
     person, patient = [*s, "person_id"], [*s, "patient_id"]
     rows = person_rows(tables, end_date, s)
     others = {"PatientUniqueID": 4, "ANCNoIdentifier": 6, "HTSNo": 8}
-    rows = match(rows, hospital_numbers(tables["patient_identifier"], s), person, patient)
+    rows = match(rows, hospital_numbers(tables["patient_identifier"], s, normalise_ids), person, patient)
     rows = match(rows, pivot_identifiers(tables["patient_identifier"], others, patient),
                  person, patient)
-    if normalise_ids:
-        rows = rows.withColumn("PatientHospitalNo", normalise_id("PatientHospitalNo"))
     rolled = rollup_by_identifier(rows, [*s, "PatientHospitalNo"], _LARGEST, _SMALLEST)
     due = next_visit("last_visit", "standing_refill")
     derived = rolled.withColumns({
@@ -325,13 +322,14 @@ def hospital_rows(tables: Mapping[str, DataFrame], end_date: dt.date | str,
     return attach_facility_columns(derived, tables, s)
 
 
-def entry_points(tables: Mapping[str, DataFrame], site: Keys = ()) -> DataFrame:
+def entry_points(tables: Mapping[str, DataFrame], site: Keys = (),
+                 normalise_ids: bool = False) -> DataFrame:
     """Entry point per hospital number (its smallest uuid stands for it)."""
     s = key_list(site)
     names = preferred_names(tables["concept_name"], site=s)
     per_person = care_entry_point(tables["obs"], names, [*s, "person_id"], site=s)
     patients = live(tables["patient"]).select(*s, "patient_id")
-    numbers = hospital_numbers(tables["patient_identifier"], s).join(
+    numbers = hospital_numbers(tables["patient_identifier"], s, normalise_ids).join(
         patients, [*s, "patient_id"], "left_semi")
     everyone = tables["patient"].select(*s, F.col("patient_id").alias("person_id"))
     rows = match(per_person.join(everyone, [*s, "person_id"], "left_semi"), numbers,
@@ -380,8 +378,8 @@ def line_list(tables: Mapping[str, DataFrame], start_date: dt.date | str,
     s = [site] if site else []
     rows = hospital_rows(tables, end_date, now_date, s, normalise_ids)
     key = [*s, "uuid"]
-    entry = entry_points(tables, s).groupBy(*key).agg(F.max("CareEntryPoint").alias("CareEntryPoint"))
-    biometrics = rollup_by_identifier(biometric_status(tables, s), key, [], [
+    entry = entry_points(tables, s, normalise_ids).groupBy(*key).agg(F.max("CareEntryPoint").alias("CareEntryPoint"))
+    biometrics = rollup_by_identifier(biometric_status(tables, s, normalise_ids), key, [], [
         "EnrollmentDate", "BiometricCaptured", "BiometricCaptureDate", "ValidCapture",
         "RecaptureDate", "RecaptureCount"])
     tracking = tracking_by_uuid(tables, start_date, end_date, s)

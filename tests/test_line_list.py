@@ -362,3 +362,15 @@ def test_row_count_is_the_number_of_hospital_numbers(spark):
     numbers = t["patient_identifier"].filter("identifier_type = 5 and voided = 0")
     expected = people.join(numbers, "patient_id", "left").select("identifier").distinct().count()
     assert line_list(t, OPEN, PICKUP_END, TODAY).count() == expected
+
+
+def test_spellings_of_a_number_keep_what_each_part_knows(clinic):
+    for pid, spelling in ((1, "ab1"), (2, "AB1 ")):
+        clinic.patient(pid, hospital=spelling)
+        clinic.pickup(pid, "2024-05-01", 30)
+    clinic.name(1, "Outpatient")
+    clinic.obs(2, 160540, "2024-01-01", coded=1)
+    clinic.add("patient_program", patient_id=2, program_id=1, date_enrolled=at("2020-02-03"))
+    rows = listed(clinic, normalise_ids=True).collect()
+    assert len(rows) == 1
+    assert rows[0].CareEntryPoint == "Outpatient" and rows[0].EnrollmentDate is not None
