@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from carelens.bindings.line_list_sql import BIOMETRICS, ENTRY, LINE_LIST, TRACKING
+from carelens.bindings.line_list_sql import BIOMETRICS, ENTRY, LINE_LIST, NUMBERS, TRACKING
 from carelens.bindings.sql_tables import CLINICAL
 from carelens.bindings.tables import NOW, PICKUP_END, START, clinical_tables
 from carelens.operators.lookups import attach_demographics as demographics
@@ -42,13 +42,14 @@ QUERIES = {f.__name__: f for f in (
 ORACLE = {
     "line_list": f"{LINE_LIST} SELECT * FROM line_list",
     "biometric_status": f"""
-WITH {CLINICAL}, {BIOMETRICS}
+WITH {CLINICAL}, {NUMBERS}, {BIOMETRICS}
 SELECT hospital_no AS "PatientHospitalNo", uuid, unique_id AS "PatientUniqueID",
   enrolled AS "EnrollmentDate", recaptured AS "RecaptureDate", recapture_count AS "RecaptureCount",
-  captured AS "BiometricCaptured", capture_date AS "BiometricCaptureDate", valid AS "ValidCapture"
+  captured AS "BiometricCaptured", capture_date AS "BiometricCaptureDate", valid AS "ValidCapture",
+  'AFRICA' AS "DatimCode"
 FROM biometrics""",
     "pivot_tracking": f"""
-WITH {CLINICAL}, {TRACKING}
+WITH {CLINICAL}, {NUMBERS}, {TRACKING}
 SELECT patient_id, uuid, unique_id AS "UniqueID", hospital_id AS "HospID",
   terminated AS "TrackerTerminationDate", entered_by AS "EnteredBy", created AS "DateCreated",
   deceased AS "MarkAsDeseased", died AS "MarkAsDeseasedDeathDate", tracking_reason AS "ReasonForTracking",
@@ -58,8 +59,9 @@ SELECT patient_id, uuid, unique_id AS "UniqueID", hospital_id AS "HospID",
   discontinued AS "DiscontinuedCareReason", returned AS "DateReturnedToCare", referred AS "ReferredFor"
 FROM tracking""",
     "care_entry_point": f"""
-WITH {CLINICAL}, {ENTRY}
-SELECT hospital_no AS "PatientHospitalNo", uuid, entry_point AS "CareEntryPoint" FROM entry""",
+WITH {CLINICAL}, {NUMBERS}, {ENTRY}
+SELECT hospital_no AS "PatientHospitalNo", uuid, unique_id AS "PatientUniqueID",
+  entry_point AS "CareEntryPoint" FROM entry""",
     "attach_demographics": f"""
 WITH {CLINICAL}
 SELECT p.patient_id AS person_id, pe.gender AS "Sex", pe.birthdate AS "DOB",

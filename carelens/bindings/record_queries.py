@@ -69,7 +69,8 @@ def rollup_by_identifier(spark, sf):
     shared = _customer(spark, sf).withColumn("hospital_no", F.when(
         F.col("c_mktsegment") != "FURNITURE", F.floor(F.col("c_custkey") / 2)))
     return summaries.rollup_by_identifier(
-        shared, "hospital_no", ["c_acctbal", "c_nationkey"], ["c_name", "c_mktsegment"])
+        shared, "hospital_no", ["c_acctbal", "c_nationkey"], ["c_name", "c_mktsegment"],
+        by="c_custkey")
 
 
 def full_name(spark, sf):
@@ -273,9 +274,12 @@ SELECT c_custkey AS patient_id, CAST(c_acctbal < 0 AS INTEGER) AS voided,
   {_identifier(5)} AS "PatientHospitalNo", {_identifier(4)} AS "PatientUniqueID",
   {_identifier(6)} AS "ANCNoIdentifier", {_identifier(8)} AS "HTSNo" FROM customer""",
     "rollup_by_identifier": """
-SELECT CASE WHEN c_mktsegment <> 'FURNITURE' THEN c_custkey // 2 END AS hospital_no,
-  max(c_acctbal) AS c_acctbal, max(c_nationkey) AS c_nationkey, min(c_name) AS c_name,
-  min(c_mktsegment) AS c_mktsegment FROM customer GROUP BY 1""",
+SELECT hospital_no, top AS c_acctbal, home AS c_nationkey, c_name, c_mktsegment
+FROM (SELECT hospital_no, c_name, c_mktsegment, max(c_acctbal) OVER same AS top,
+             max(c_nationkey) OVER same AS home,
+             row_number() OVER (PARTITION BY hospital_no ORDER BY c_custkey) AS place
+      FROM (SELECT *, CASE WHEN c_mktsegment <> 'FURNITURE' THEN c_custkey // 2 END AS hospital_no
+            FROM customer) WINDOW same AS (PARTITION BY hospital_no)) WHERE place = 1""",
     "full_name": """
 SELECT c_custkey, CASE WHEN c_nationkey <> 3 THEN c_mktsegment || ' ' || c_name END AS full_name
 FROM customer""",

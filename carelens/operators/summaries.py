@@ -40,11 +40,19 @@ def first_capture(captures: DataFrame, person: Keys = "patient_Id",
 
 
 def rollup_by_identifier(df: DataFrame, identifier: Keys, largest: Sequence[str],
-                         smallest: Sequence[str]) -> DataFrame:
-    """Person rows to one row per identifier; those without one form one row."""
-    return df.groupBy(*key_list(identifier)).agg(
-        *[F.max(f"`{c}`").alias(c) for c in largest],
-        *[F.min(f"`{c}`").alias(c) for c in smallest])
+                         one_row: Sequence[str], by: Keys) -> DataFrame:
+    """Person rows to one row per identifier; those without one form one row.
+
+    ``largest`` merge by their largest value.  ``one_row`` all come from the row with
+    the smallest ``by``, so that no result mixes the values of several persons.
+    """
+    keys = key_list(identifier)
+    order = [F.col(f"`{c}`").alias(f"__by{i}") for i, c in enumerate(key_list(by))]
+    row = F.struct(*order, *[F.col(f"`{c}`") for c in one_row])
+    rolled = df.groupBy(*keys).agg(
+        *[F.max(f"`{c}`").alias(c) for c in largest], F.min(row).alias("__row"))
+    return rolled.select(*keys, *[F.col(f"`{c}`") for c in largest],
+                         *[F.col("__row")[c].alias(c) for c in one_row])
 
 
 def care_entry_point(obs: DataFrame, names: DataFrame, person: Keys = "person_id",

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from carelens.functions import format_date, normalise_id
 from carelens.operators.filters import has_identifier, live, wrong_template
 from carelens.operators.keys import Keys, key_list, match
+from carelens.operators.lookups import attach_parameters
 from carelens.operators.summaries import rollup_by_identifier
-from carelens.plans.concepts import HOSPITAL_NUMBER, PROGRAM, UNIQUE_ID
+from carelens.plans.concepts import DATIM_PROPERTY, HOSPITAL_NUMBER, PROGRAM, UNIQUE_ID
 
 
 def hospital_numbers(identifiers: DataFrame, site: Keys = (), normalise_ids: bool = False) -> DataFrame:
@@ -25,7 +26,10 @@ def hospital_numbers(identifiers: DataFrame, site: Keys = (), normalise_ids: boo
 
 def biometric_status(tables: Mapping[str, DataFrame], site: Keys = (),
                      normalise_ids: bool = False) -> DataFrame:
-    """Enrolment, capture, recapture and validity of prints per hospital number."""
+    """Enrolment, capture, recapture and validity of prints per hospital number.
+
+    A number that several patients share has the row of the smallest patient id.
+    """
     s = key_list(site)
     patient = [*s, "patient_id"]
     captures = [*s, "patient_Id"]
@@ -55,5 +59,7 @@ def biometric_status(tables: Mapping[str, DataFrame], site: Keys = (),
     })
     rolled = rollup_by_identifier(rows, [*s, "PatientHospitalNo"], [], [
         "uuid", "PatientUniqueID", "EnrollmentDate", "RecaptureDate", "RecaptureCount",
-        "BiometricCaptured", "BiometricCaptureDate", "ValidCapture"])
+        "BiometricCaptured", "BiometricCaptureDate", "ValidCapture"], by="patient_id")
+    rolled = attach_parameters(
+        rolled, tables["global_property"], {"DatimCode": DATIM_PROPERTY}, s)
     return rolled.withColumn("RecaptureDate", format_date("RecaptureDate"))

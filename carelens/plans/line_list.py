@@ -33,11 +33,11 @@ from carelens.operators.ordered import (
     child_values,
     refill_before,
 )
-from carelens.operators.summaries import care_entry_point, rollup_by_identifier
+from carelens.operators.summaries import ENTRY_POINT, care_entry_point, rollup_by_identifier
 from carelens.plans import concepts as c
 from carelens.plans.biometrics import biometric_status, hospital_numbers
 from carelens.plans.rules import drop_helpers, previous_status, quarter_status, returned_to_care
-from carelens.plans.tracking import pivot_tracking
+from carelens.plans.tracking import FIRST_VISIT, OF_FIRST_VISIT, tracking_answers, tracking_rows
 
 # The columns of a line list in order.
 LINE_LIST_COLUMNS = (
@@ -67,7 +67,7 @@ LINE_LIST_COLUMNS = (
 NUMERIC = (c.REFILL_DAYS, c.VIRAL_LOAD, c.WEIGHT, c.HEIGHT)
 DATED = (c.ART_START, c.VIRAL_LOAD_REPORTED, c.OTZ_START, c.OTZ_STOP)
 
-# Person columns that merge by their largest value; the others by their smallest.
+# Person columns that merge by their largest value.
 _LARGEST = (
     "AgeAtStartOfARTYears", "AgeAtStartOfARTMonths", "TransferInStatus", "ARTStartDate",
     "LastPickupDate", "last_visit", "DaysOfARVRefil", "InitialRegimenLine", "InitialRegimen",
@@ -77,7 +77,8 @@ _LARGEST = (
     "TBTreatmentStartDate", "TBTreatmentStopDate", "otz_start", "otz_stop",
     "DTGFirstPickUp", "reason", "standing_refill",
 )
-_SMALLEST = (
+# Those that all come from the person with the smallest id.
+_ONE_PERSON = (
     "uuid", "PatientUniqueID", "ANCNoIdentifier", "HTSNo", "Sex", "Patient_Name",
     "Phone_No", "Patient_Address", "DOB", "CurrentRegimen", "LastDateOfSampleCollection",
     "first_dtg", "PreviousLastPickupDate", "PreviousDaysOfARVRefil",
@@ -292,7 +293,11 @@ def person_rows(tables: Mapping[str, DataFrame], end_date: dt.date | str,
 def hospital_rows(tables: Mapping[str, DataFrame], end_date: dt.date | str,
                   now_date: dt.date | str, site: Keys = (),
                   normalise_ids: bool = False) -> DataFrame:
-    """Person rows merged per hospital number, with the columns derived from them."""
+    """Person rows merged per hospital number, with the columns derived from them.
+
+    Persons who share a number keep their largest values; name, birth date, identifiers
+    and previous pickup are those of the person with the smallest id.
+    """
     s = key_list(site)
     person, patient = [*s, "person_id"], [*s, "patient_id"]
     rows = person_rows(tables, end_date, s)
@@ -300,7 +305,8 @@ def hospital_rows(tables: Mapping[str, DataFrame], end_date: dt.date | str,
     rows = match(rows, hospital_numbers(tables["patient_identifier"], s, normalise_ids), person, patient)
     rows = match(rows, pivot_identifiers(tables["patient_identifier"], others, patient),
                  person, patient)
-    rolled = rollup_by_identifier(rows, [*s, "PatientHospitalNo"], _LARGEST, _SMALLEST)
+    rolled = rollup_by_identifier(
+        rows, [*s, "PatientHospitalNo"], _LARGEST, _ONE_PERSON, by="person_id")
     due = next_visit("last_visit", "standing_refill")
     derived = rolled.withColumns({
         "Age": age_years("DOB", end_date),
@@ -324,45 +330,36 @@ def hospital_rows(tables: Mapping[str, DataFrame], end_date: dt.date | str,
 
 def entry_points(tables: Mapping[str, DataFrame], site: Keys = (),
                  normalise_ids: bool = False) -> DataFrame:
-    """Entry point per hospital number (its smallest uuid stands for it)."""
+    """Entry point per hospital number; its identifiers are those of the smallest person id."""
     s = key_list(site)
+    person, patient = [*s, "person_id"], [*s, "patient_id"]
     names = preferred_names(tables["concept_name"], site=s)
-    per_person = care_entry_point(tables["obs"], names, [*s, "person_id"], site=s)
-    patients = live(tables["patient"]).select(*s, "patient_id")
-    numbers = hospital_numbers(tables["patient_identifier"], s, normalise_ids).join(
-        patients, [*s, "patient_id"], "left_semi")
+    per_person = care_entry_point(tables["obs"], names, person, site=s)
+    owners = live(tables["patient"]).select(*patient)
+    identifiers = tables["patient_identifier"].join(owners, patient, "left_semi")
     everyone = tables["patient"].select(*s, F.col("patient_id").alias("person_id"))
-    rows = match(per_person.join(everyone, [*s, "person_id"], "left_semi"), numbers,
-                 [*s, "person_id"], [*s, "patient_id"])
-    return rollup_by_identifier(rows, [*s, "PatientHospitalNo"], ["CareEntryPoint"], ["uuid"])
+    rows = per_person.join(everyone, person, "left_semi")
+    rows = match(rows, hospital_numbers(identifiers, s, normalise_ids), person, patient)
+    rows = match(rows, pivot_identifiers(identifiers, {"PatientUniqueID": c.UNIQUE_ID}, patient),
+                 person, patient)
+    return rollup_by_identifier(rows, [*s, "PatientHospitalNo"], ["CareEntryPoint"],
+                                ["uuid", "PatientUniqueID"], by="person_id")
 
 
 def tracking_by_uuid(tables: Mapping[str, DataFrame], start_date: dt.date | str,
                      end_date: dt.date | str, site: Keys = ()) -> DataFrame:
     """Tracking rows merged per uuid, under the names of the line list."""
-    tracked = pivot_tracking(tables, start_date, end_date, site)
-    largest = {
-        "ReasonForTracking": "ReasonForTracking",
-        "PatientOutcomePreviousQuarter": "PatientOutcomePreviousQuarter",
-        "PatientOutcomeDatePreviousQuarter": "PatientOutcomeDatePreviousQuarter",
-        "PatientOutcome": "ReasonForTermination",
-        "PatientOutcomeDate": "DateOfTermination",
-        "CauseOfDeath": "CauseOfDeath",
-        "OtherCauseOfDeath": "OtherCauseOfDeath",
-        "DiscontinuedCareReason": "DiscontinuedCareReason",
-        "DateReturnedToCare": "DateReturnedToCare",
-        "ReferredFor": "ReferredFor",
-    }
-    smallest = {
-        "MarkAsDeseased": "MarkAsDeseased",
-        "MarkAsDeseasedDeathDate": "MarkAsDeseasedDeathDate",
-        "DateOfTermination": "TrackerTerminationDate",
-        "EnteredBy": "EnteredBy",
-        "DateCreated": "DateCreated",
+    renamed = {
+        "DateOfTermination": "PatientOutcomeDate",
+        "ReasonForTermination": "PatientOutcome",
+        "TrackerTerminationDate": "DateOfTermination",
     }
-    return tracked.groupBy(*key_list(site), "uuid").agg(
-        *[F.max(source).alias(out) for out, source in largest.items()],
-        *[F.min(source).alias(out) for out, source in smallest.items()])
+    largest = list(tracking_answers(end_date))
+    first = ["MarkAsDeseased", "MarkAsDeseasedDeathDate", *OF_FIRST_VISIT]
+    merged = rollup_by_identifier(
+        tracking_rows(tables, start_date, end_date, site), [*key_list(site), "uuid"],
+        largest, first, by=FIRST_VISIT)
+    return merged.withColumnsRenamed(renamed)
 
 
 def line_list(tables: Mapping[str, DataFrame], start_date: dt.date | str,
@@ -377,14 +374,19 @@ def line_list(tables: Mapping[str, DataFrame], start_date: dt.date | str,
     """
     s = [site] if site else []
     rows = hospital_rows(tables, end_date, now_date, s, normalise_ids)
-    key = [*s, "uuid"]
-    entry = entry_points(tables, s, normalise_ids).groupBy(*key).agg(F.max("CareEntryPoint").alias("CareEntryPoint"))
-    biometrics = rollup_by_identifier(biometric_status(tables, s, normalise_ids), key, [], [
+    number = [*s, "PatientHospitalNo"]
+    # Persons without an entry point add nothing to a number's largest, so only the
+    # rows of that concept are read here.
+    asked = tables["obs"].filter(F.col("concept_id") == ENTRY_POINT)
+    entry = entry_points({**tables, "obs": asked}, s, normalise_ids)
+    biometrics = biometric_status(tables, s, normalise_ids)
+    tracking = tracking_by_uuid(tables, start_date, end_date, s)
+    rows = lookup_unique(rows, entry, number, ["CareEntryPoint"])
+    rows = lookup_unique(rows, biometrics, number, [
         "EnrollmentDate", "BiometricCaptured", "BiometricCaptureDate", "ValidCapture",
         "RecaptureDate", "RecaptureCount"])
-    tracking = tracking_by_uuid(tables, start_date, end_date, s)
-    for other in (entry, biometrics, tracking):
-        rows = lookup_unique(rows, other, key, [x for x in other.columns if x not in key])
+    key = [*s, "uuid"]
+    rows = lookup_unique(rows, tracking, key, [x for x in tracking.columns if x not in key])
     rows = quarter_status(rows, end_date)
     rows = returned_to_care(rows)
     rows = previous_status(rows, with_date=previous_status_date)

@@ -13,6 +13,7 @@ from carelens.operators.filters import live, tracked_in_window
 from carelens.operators.keys import Keys, key_list, match
 from carelens.operators.latest import preferred_names
 from carelens.operators.lookups import attach_entered_by, decode_coded
+from carelens.operators.summaries import rollup_by_identifier
 from carelens.plans.concepts import (
     CAUSE_OF_DEATH,
     DISCONTINUED_REASON,
@@ -32,6 +33,10 @@ ANSWERS = (
     DISCONTINUED_REASON, RETURNED_DATE, REFERRED_FOR,
 )
 
+#: What orders the visits of a patient, and what all comes from the first of them.
+FIRST_VISIT = ("__first_at", "__first_id")
+OF_FIRST_VISIT = ("TrackerTerminationDate", "EnteredBy", "DateCreated")
+
 
 def tracking_answers(end_date: dt.date | str, name: str = "name") -> dict[str, Column]:
     """The recorded answers, each as a conditional maximum."""
@@ -55,53 +60,61 @@ def tracking_answers(end_date: dt.date | str, name: str = "name") -> dict[str, C
     }
 
 
-def pivot_tracking(tables: Mapping[str, DataFrame], start_date: dt.date | str,
-                   end_date: dt.date | str, site: Keys = ()) -> DataFrame:
-    """One row per patient tracked, or dead, in the window.
+def tracking_rows(tables: Mapping[str, DataFrame], start_date: dt.date | str,
+                  end_date: dt.date | str, site: Keys = ()) -> DataFrame:
+    """``pivot_tracking`` with the columns that tell which visit was the first.
 
-    Soft-deleted patients with a tracking visit share one row without a patient id.
-    The answers are first reduced to one row per encounter, so the join with the
-    visits is one to one.
+    Only answers of the visits wanted are decoded, and they are reduced to one row per
+    encounter, so the join with the visits is one to one.
     """
     s = key_list(site)
-    live_ids = live(tables["patient"]).select(*s, "patient_id")
+    patient, visit = [*s, "patient_id"], [*s, "encounter_id"]
+    live_ids = live(tables["patient"]).select(*patient)
     # Only live patients have a person to be dead in the window.
-    persons = match(tables["person"], live_ids, [*s, "person_id"], [*s, "patient_id"], "left_semi")
+    persons = match(tables["person"], live_ids, [*s, "person_id"], patient, "left_semi")
     visits = tracked_in_window(
         live(tables["encounter"]), persons, start_date, end_date, TRACKING_FORM,
-        encounter_person=[*s, "patient_id"], person=[*s, "person_id"])
-    answers = tables["obs"].filter(F.col("concept_id").isin(*ANSWERS))
+        encounter_person=patient, person=[*s, "person_id"])
+    answers = tables["obs"].filter(F.col("concept_id").isin(*ANSWERS)).join(
+        visits.select(*visit), visit, "left_semi")
     named = decode_coded(answers, preferred_names(tables["concept_name"], site=s), site=s)
-    per_encounter = named.groupBy(*s, "encounter_id").agg(
-        *[c.alias(out) for out, c in tracking_answers(end_date).items()])
+    outs = tracking_answers(end_date)
+    per_encounter = named.groupBy(*visit).agg(*[a.alias(out) for out, a in outs.items()])
     seen = attach_entered_by(visits, tables["users"], tables["person_name"], site=s)
-    seen = seen.join(per_encounter, [*s, "encounter_id"], "left")
+    seen = seen.join(per_encounter, visit, "left").withColumns({
+        FIRST_VISIT[0]: F.col("encounter_datetime"), FIRST_VISIT[1]: F.col("encounter_id"),
+        "TrackerTerminationDate": F.col("encounter_datetime"), "DateCreated": F.col("date_created")})
 
     kind = F.col("identifier_type")
-    numbers = tables["patient_identifier"].groupBy(*s, "patient_id").agg(
-        F.min(F.when(kind == HOSPITAL_NUMBER, F.col("uuid"))).alias("uuid"),
-        F.min(F.when(kind == HOSPITAL_NUMBER, F.col("identifier"))).alias("HospID"),
+    numbers = tables["patient_identifier"].groupBy(*patient).agg(
+        F.min(F.when(kind == HOSPITAL_NUMBER, F.struct("uuid", "identifier"))).alias("number"),
         F.min(F.when(kind == UNIQUE_ID, F.col("identifier"))).alias("UniqueID"))
+    numbers = numbers.select(*patient, "number.uuid", F.col("number.identifier").alias("HospID"), "UniqueID")
     deceased, death_date = deceased_flag("dead", "death_date")
-    people = persons.groupBy(*s, "person_id").agg(
+    deaths = persons.groupBy(*s, "person_id").agg(
         F.max("dead").alias("dead"), F.max("death_date").alias("death_date"))
-    people = people.select(*s, F.col("person_id").alias("patient_id"),
-                           deceased.alias("MarkAsDeseased"),
-                           death_date.alias("MarkAsDeseasedDeathDate"),
-                           F.lit(True).alias("__live"))
+    deaths = deaths.select(*s, "person_id", deceased.alias("MarkAsDeseased"),
+                           death_date.alias("MarkAsDeseasedDeathDate"))
+    people = match(live_ids.withColumn("__live", F.lit(True)), deaths, patient, [*s, "person_id"])
     # One row per patient first; soft-deleted patients merge in a second step.
-    outs = list(tracking_answers(end_date))
-    per_patient = seen.groupBy(*s, "patient_id").agg(
-        F.min("encounter_datetime").alias("TrackerTerminationDate"),
-        F.min("EnteredBy").alias("EnteredBy"),
-        F.min("date_created").alias("DateCreated"),
-        *[F.max(o).alias(o) for o in outs])
-    per_patient = per_patient.join(numbers, [*s, "patient_id"], "left")
-    per_patient = per_patient.join(people, [*s, "patient_id"], "left").withColumn(
-        "patient_id", F.when(F.col("__live"), F.col("patient_id")))
-    smallest = ["uuid", "UniqueID", "HospID", "TrackerTerminationDate", "EnteredBy", "DateCreated"]
-    return per_patient.groupBy(*s, "patient_id").agg(
-        *[F.min(c).alias(c) for c in smallest],
-        F.coalesce(F.min("MarkAsDeseased"), F.lit("")).alias("MarkAsDeseased"),
-        F.min("MarkAsDeseasedDeathDate").alias("MarkAsDeseasedDeathDate"),
-        *[F.max(o).alias(o) for o in outs])
+    per_patient = rollup_by_identifier(
+        seen, patient, list(outs), [*FIRST_VISIT, *OF_FIRST_VISIT], by=FIRST_VISIT)
+    per_patient = per_patient.join(numbers, patient, "left").join(people, patient, "left")
+    per_patient = per_patient.withColumns({
+        "patient_id": F.when(F.col("__live"), F.col("patient_id")),
+        "MarkAsDeseased": F.coalesce("MarkAsDeseased", F.lit(""))})
+    return rollup_by_identifier(per_patient, patient, list(outs), [
+        "uuid", "UniqueID", "HospID", *FIRST_VISIT, *OF_FIRST_VISIT, "MarkAsDeseased",
+        "MarkAsDeseasedDeathDate"], by=FIRST_VISIT)
+
+
+def pivot_tracking(tables: Mapping[str, DataFrame], start_date: dt.date | str,
+                   end_date: dt.date | str, site: Keys = ()) -> DataFrame:
+    """One row per patient tracked, or dead, in the window.
+
+    The answers are each the largest.  Visit date, creator and creation date are those
+    of the first visit by (``encounter_datetime``, ``encounter_id``).  Soft-deleted patients with a
+    tracking visit share one row without a patient id, whose identifiers are of the
+    patient with the first visit.
+    """
+    return tracking_rows(tables, start_date, end_date, site).drop(*FIRST_VISIT)

@@ -219,6 +219,38 @@ def test_shared_and_missing_hospital_numbers_merge(clinic):
         (None, None, 20.0), ("77", "uuid-1", 60.0)]
 
 
+def test_columns_that_do_not_merge_are_of_one_person(clinic):
+    clinic.patient(1, "77", gender="M", birthdate=day("1990-01-01"))
+    clinic.patient(2, "77", gender="F", birthdate=day("1970-01-01"))
+    clinic.add("person_name", person_id=1, given_name="Zed", family_name="One")
+    clinic.add("person_name", person_id=2, given_name="Ann", family_name="Two")
+    # Person 1 came twice without a refill at the first visit, person 2 has one.
+    clinic.add("encounter", encounter_id=1, patient_id=1, form_id=27, encounter_type=13)
+    clinic.obs(1, 165708, "2024-01-10", encounter=1)
+    clinic.obs(1, 165708, "2024-05-10", encounter=1)
+    clinic.pickup(2, "2024-02-01", 30)
+    clinic.pickup(2, "2024-06-01", 60)
+    row = one(clinic)
+    assert (row["uuid"], row["Sex"], row["DOB"], row["Patient_Name"]) == (
+        "uuid-1", "M", day("1990-01-01"), "Zed One")
+    # Without a refill of the same person there is no interruption date.
+    assert row["PreviousARTStatusDate"] is None and row["PreviousARTStatus"] == "LTFU"
+    assert row["LastPickupDatePreviousQuarter"] == at("2024-01-10")
+    assert row["DrugDurationPreviousQuarter"] is None
+    assert row["LastPickupDate"] == at("2024-06-01")
+
+
+def test_biometrics_of_a_shared_number_are_of_one_patient(clinic):
+    clinic.patient(1, "77")
+    clinic.patient(2, "77")
+    clinic.add("patient_program", patient_id=2, program_id=1, date_enrolled=at("2020-02-03"))
+    clinic.add("biometricinfo", patient_Id=2, date_created=at("2024-02-01"), template="Zz", new_template=None)
+    clinic.add("global_property", property="facility_datim_code", property_value="X1")
+    row = biometric_status(clinic.tables()).collect()[0]
+    assert (row["uuid"], row["EnrollmentDate"], row["BiometricCaptured"], row["ValidCapture"], row["DatimCode"]) == (
+        "uuid-1", None, "No", "", "X1")
+
+
 def test_two_hospital_numbers_make_two_rows(clinic):
     clinic.patient(1, "77")
     clinic.add("patient_identifier", patient_id=1, identifier="88", identifier_type=5, uuid="second")
@@ -262,6 +294,26 @@ def test_tracking_takes_the_largest_reason(clinic):
     assert row["TrackerTerminationDate"] == at("2024-04-10")
 
 
+def test_tracking_visit_and_its_author_are_of_one_encounter(clinic):
+    clinic = tracked_clinic(clinic)
+    clinic.add("users", user_id=9, person_id=90)
+    clinic.add("person_name", person_id=90, given_name="Aide", family_name="Ann")
+    row = pivot_tracking(clinic.tables(), START, END).first()
+    assert (row["TrackerTerminationDate"], row["EnteredBy"]) == (at("2024-04-10"), "Nurse Joy")
+    listed_row = one(clinic)
+    assert (listed_row["DateOfTermination"], listed_row["EnteredBy"]) == (at("2024-04-10"), "Nurse Joy")
+
+
+def test_deleted_patients_share_the_row_of_the_first_visit(clinic):
+    for pid in (1, 2):
+        clinic.patient(pid, str(pid), voided=1)
+    clinic.encounter(20, 1, "2024-05-02", form=13)
+    clinic.encounter(21, 2, "2024-05-01", form=13)
+    row = pivot_tracking(clinic.tables(), START, END).collect()
+    assert [(r["patient_id"], r["uuid"], r["HospID"], r["TrackerTerminationDate"]) for r in row] == [
+        (None, "uuid-2", "2", at("2024-05-01"))]
+
+
 def test_tracking_reaches_the_line_list(clinic):
     row = one(tracked_clinic(clinic))
     assert row["PatientOutcome"] == "Transferred out"
@@ -370,7 +422,8 @@ def test_spellings_of_a_number_keep_what_each_part_knows(clinic):
         clinic.pickup(pid, "2024-05-01", 30)
     clinic.name(1, "Outpatient")
     clinic.obs(2, 160540, "2024-01-01", coded=1)
-    clinic.add("patient_program", patient_id=2, program_id=1, date_enrolled=at("2020-02-03"))
+    clinic.add("patient_program", patient_id=1, program_id=1, date_enrolled=at("2020-02-03"))
     rows = listed(clinic, normalise_ids=True).collect()
     assert len(rows) == 1
-    assert rows[0].CareEntryPoint == "Outpatient" and rows[0].EnrollmentDate is not None
+    # The entry point is the largest of both persons, the enrolment that of the first.
+    assert rows[0].CareEntryPoint == "Outpatient" and rows[0].EnrollmentDate == at("2020-02-03")

@@ -121,11 +121,13 @@ def test_capture_quality(spark):
 
 
 def test_rollup_merges_shared_and_missing_numbers(spark):
-    data = spark.createDataFrame([("h", 1, "b"), ("h", 2, "a"), (None, 3, "c"), (None, 4, "d")],
-                                 "no string, top int, low string")
-    once = summaries.rollup_by_identifier(data, "no", ["top"], ["low"])
-    assert {(r["no"], r["top"], r["low"]) for r in once.collect()} == {("h", 2, "a"), (None, 4, "c")}
-    again = summaries.rollup_by_identifier(once, "no", ["top"], ["low"])
+    data = spark.createDataFrame(
+        [("h", 2, 1, "a", None), ("h", 1, 2, "b", "z"), (None, 3, 3, None, "y"), (None, 4, 4, "d", "x")],
+        "no string, id int, top int, low string, other string")
+    once = summaries.rollup_by_identifier(data, "no", ["top"], ["low", "other", "id"], by="id")
+    # What does not merge is of one row, also where that row has nothing.
+    assert {tuple(r) for r in once.collect()} == {("h", 2, "b", "z", 1), (None, 4, None, "y", 3)}
+    again = summaries.rollup_by_identifier(once, "no", ["top"], ["low", "other", "id"], by="id")
     assert sorted(map(repr, again.collect())) == sorted(map(repr, once.collect()))
 
 
