@@ -4,19 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from carelens.bindings.line_list_sql import BIOMETRICS, ENTRY, LINE_LIST, NUMBERS, TRACKING
+from carelens.bindings.line_list_sql import BIOMETRICS, ENTRY, LINE_LIST, NORMALISED, NUMBERS, TRACKING
 from carelens.bindings.sql_tables import CLINICAL
 from carelens.bindings.tables import NOW, PICKUP_END, START, clinical_tables
 from carelens.operators.lookups import attach_demographics as demographics
 from carelens.plans import biometrics as biometric_plan
 from carelens.plans import line_list as plan
 from carelens.plans import tracking
+from carelens.plans.concepts import HOSPITAL_NUMBER
 
 
 def line_list(spark, sf):
     return plan.line_list(clinical_tables(spark, sf), START, PICKUP_END, NOW)
 
 
+def line_list_normalised(spark, sf):
+    t = clinical_tables(spark, sf)
+    owner = F.col("patient_id")
+    spelled = F.concat(F.when(owner % 2 == 0, "hn").otherwise("HN"), "identifier",
+                       F.when(owner % 3 == 0, "  ").otherwise(""))
+    identifiers = t["patient_identifier"].withColumn("identifier", F.when(
+        F.col("identifier_type") == HOSPITAL_NUMBER, spelled).otherwise(F.col("identifier")))
+    return plan.line_list({**t, "patient_identifier": identifiers}, START, PICKUP_END, NOW,
+                          normalise_ids=True)
+
+
 def biometric_status(spark, sf):
     return biometric_plan.biometric_status(clinical_tables(spark, sf))
 
@@ -37,10 +49,11 @@ def attach_demographics(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    line_list, biometric_status, pivot_tracking, care_entry_point, attach_demographics)}
+    line_list, line_list_normalised, biometric_status, pivot_tracking, care_entry_point, attach_demographics)}
 
 ORACLE = {
     "line_list": f"{LINE_LIST} SELECT * FROM line_list",
+    "line_list_normalised": f"{NORMALISED} SELECT * FROM line_list",
     "biometric_status": f"""
 WITH {CLINICAL}, {NUMBERS}, {BIOMETRICS}
 SELECT hospital_no AS "PatientHospitalNo", uuid, unique_id AS "PatientUniqueID",

@@ -111,6 +111,13 @@ def suffix_duplicates(spark, sf):
     return rows.suffix_duplicates(keyed, "key", ["c_custkey"])
 
 
+def suffix_repeated_rows(spark, sf):
+    keyed = _customer(spark, sf).select(
+        "c_custkey", text_key(F.col("c_nationkey"), F.col("c_mktsegment")).alias("key"))
+    numbered = rows.number_rows(keyed.unionByName(keyed), ["c_custkey"], out="n")
+    return rows.suffix_duplicates(numbered, "key", ["n"])
+
+
 def suffix_many_duplicates(spark, sf):
     keyed = _customer(spark, sf).select("c_custkey", F.col("c_mktsegment").alias("key"))
     return rows.suffix_duplicates(keyed, "key", ["c_custkey"])
@@ -246,7 +253,8 @@ def fill_where(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     attach_identifiers, rollup_by_identifier, full_name, composite_key, strip_zeros, blank_to_null,
-    number_rows, drop_all_duplicates, suffix_duplicates, suffix_many_duplicates, lookup_dimension,
+    number_rows, drop_all_duplicates, suffix_duplicates, suffix_repeated_rows, suffix_many_duplicates,
+    lookup_dimension,
     lookup_unique, two_hop_lookup, broadcast_parameters, scalar_subquery_filter, exists_flag,
     filter_not_prefix, capture_quality, distinct_first, age_years, age_at_start, format_date,
     parse_date, newest_date, threshold_band, recode_values, flag_columns, fill_where)}
@@ -300,6 +308,11 @@ SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, band FROM (
          count(*) OVER (PARTITION BY c_nationkey, c_mktsegment, floor(c_acctbal / 500)) AS n
   FROM customer) WHERE n = 1""",
     "suffix_duplicates": _suffix("(c_nationkey || c_mktsegment)"),
+    "suffix_repeated_rows": """
+SELECT n, c_custkey, CASE WHEN r <= 26 THEN key || '_' || chr(CAST(64 + r AS INTEGER)) END AS key
+FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY n) AS r
+      FROM (SELECT c_custkey, c_nationkey || c_mktsegment AS key, row_number() OVER (ORDER BY c_custkey) AS n
+            FROM customer CROSS JOIN range(2)))""",
     "suffix_many_duplicates": _suffix("c_mktsegment"),
     "lookup_dimension": """
 SELECT customer.*, n_name AS "State", n_regionkey AS "LGA" FROM customer

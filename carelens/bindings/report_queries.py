@@ -16,6 +16,7 @@ from carelens.bindings.stages_sql import (
     ORDERS,
     STAGE,
     final,
+    numbered,
     report_columns,
 )
 from carelens.bindings.tables import PICKUP_END
@@ -78,6 +79,12 @@ def programme_report_baseline(spark, sf):
         line_list_rows(spark, sf), baseline_rows(spark, sf), PICKUP_END)
 
 
+def programme_report_repeated(spark, sf):
+    listed = line_list_rows(spark, sf)
+    return report.programme_report_with_baseline(
+        listed.unionByName(listed), baseline_rows(spark, sf), PICKUP_END)
+
+
 def programme_report_reactivated(spark, sf):
     return report.programme_report_with_baseline(
         line_list_rows(spark, sf), baseline_rows(spark, sf), PICKUP_END,
@@ -90,12 +97,15 @@ def line_list_report(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     blank_columns, report_projection, report_status, programme_report, programme_report_quarter,
-    baseline_lookup, merge_baseline, programme_report_baseline, programme_report_reactivated,
+    baseline_lookup, merge_baseline, programme_report_baseline, programme_report_repeated,
+    programme_report_reactivated,
     line_list_report)}
 
-_STAGED = f"WITH {ORDERS}, {STAGE}"
+_STAGED = f"WITH {ORDERS}, {STAGE}, {numbered()}"
 _REPORT = f"{_STAGED}, {final('numbered')}"
 _MERGED = f"{_STAGED}, {KEYED}, {BASELINE}"
+_REPEATED = (f"WITH {ORDERS}, {STAGE}, twice AS (SELECT stage.* FROM stage CROSS JOIN range(2)), "
+             f"{numbered('twice')}, {KEYED}, {BASELINE}")
 
 # What the projection finds before any rule has run.
 _UNRULED = {
@@ -170,6 +180,8 @@ ORACLE = {
   e_patient AS patient, e_setting AS setting FROM merged""",
     "programme_report_baseline": f"""
 {_MERGED}, {final('merged')} SELECT {report_columns(FILLED | FROM_EARLIER)} FROM ruled""",
+    "programme_report_repeated": f"""
+{_REPEATED}, {final('merged')} SELECT {report_columns(FILLED | FROM_EARLIER)} FROM ruled""",
     "programme_report_reactivated": f"""
 {_MERGED}, reactivated AS (
   SELECT * REPLACE (CASE WHEN status = 'IIT' AND e_status = 'Active' THEN 'Active(A)' ELSE status END AS status)

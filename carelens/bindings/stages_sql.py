@@ -56,13 +56,20 @@ stage AS (
     CASE WHEN c_acctbal >= 3000 THEN DATE '2001-01-15' END AS before_date,
     CASE WHEN o_orderstatus <> 'O' THEN 'Yes' ELSE 'No' END AS captured,
     CASE WHEN o_orderstatus <> 'O' THEN {_P} - 100 END AS capture_date
-  FROM listed_orders),
+  FROM listed_orders)
+"""
+
+
+def numbered(source: str = "stage") -> str:
+    """Rows of ``source`` with serial number and key."""
+    return f"""
 numbered AS (
-  SELECT *, row_number() OVER (ORDER BY hospital_no, uuid) AS n,
+  SELECT *, row_number() OVER (ORDER BY state, lga, facility, hospital_no, uuid) AS n,
     lga || facility || regexp_replace(hospital_no, '^0+', '')
-      || coalesce(regexp_replace(unique_id, '^0+', ''), 'nan') AS plain_key FROM stage)
+      || coalesce(regexp_replace(unique_id, '^0+', ''), 'nan') AS plain_key FROM {source})
 """
 
+
 # The key of a list row: repeated keys get letters, the 27th and later none.
 KEYED = """
 keyed AS (

@@ -23,13 +23,15 @@ from carelens.plans import baseline as earlier_report
 from carelens.plans.report_columns import (
     BLANK_COLUMNS,
     DATE_COLUMNS,
+    READ_COLUMNS,
     REGIMEN_LINES,
     REPORT_COLUMNS,
     SEX,
     STATUSES,
 )
 
-ROW_ORDER = ("PatientHospitalNo", "uuid")
+# Rows without a hospital number are told apart by their facility.
+ROW_ORDER = ("State", "LGA", "FaciityName", "PatientHospitalNo", "uuid")
 VL_DATE = "Date of Current Viral Load (yyyy-mm-dd)"
 TRANSFERRED = "Transfer in with records"
 
@@ -175,8 +177,12 @@ def rename_report(df: DataFrame) -> DataFrame:
 
 
 def _prepared(line_list: DataFrame, order: tuple[str, ...]) -> DataFrame:
-    """Numbered list with blank columns; a blank cell is a missing value."""
-    needed = blank_to_null(line_list)
+    """Numbered list with blank columns; a blank cell is a missing value.
+
+    Numbering stores the columns a report reads, and does so when it is called.
+    """
+    kept = {*READ_COLUMNS, *order}
+    needed = blank_to_null(line_list.select([F.col(f"`{c}`") for c in line_list.columns if c in kept]))
     numbered = number_rows(needed, order, out="S/N.")
     return copied_columns(refill_columns(add_blank_columns(numbered)))
 

@@ -1,5 +1,19 @@
 """Column lists of the programme report (fixed values)."""
 
+# What a report reads of a line list.
+READ_COLUMNS = (
+    "uuid", "State", "LGA", "FaciityName", "PatientHospitalNo", "PatientUniqueID", "Sex", "DOB",
+    "EnrollmentDate", "TransferInStatus", "ARTStartDate", "LastPickupDate", "DaysOfARVRefil",
+    "LastPickupDatePreviousQuarter", "DrugDurationPreviousQuarter", "InitialRegimenLine",
+    "InitialRegimen", "CurrentRegimenLine", "CurrentRegimen", "PregnancyStatus",
+    "CurrentViralLoad(c/ml)", "ViralLoadReportedDate", "LastViralLoadDate",
+    "LastDateOfSampleCollection", "CurrentWeight_Kg", "LastINHDispensedDate", "OTZStartDate",
+    "CurrentARTStatus", "PatientOutcomeDate", "CauseOfDeath", "OtherCauseOfDeath",
+    "DiscontinuedCareReason", "DateReturnedToCare", "ARTStatusPreviousQuarter",
+    "PatientOutcomeDatePreviousQuarter", "PreviousARTStatus", "PreviousARTStatusDate",
+    "BiometricCaptured", "BiometricCaptureDate",
+)
+
 # Line-list column, report heading, in report order.
 REPORT_COLUMNS: tuple[tuple[str, str], ...] = (
     ("S/N.", "S/No."),

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from carelens.plans.biometrics import biometric_status
 from carelens.plans.line_list import LINE_LIST_COLUMNS, line_list
+from carelens.plans.report import programme_report
 from carelens.plans.tracking import pivot_tracking
 
 START, END, NOW = "2024-04-01", "2024-06-30", "2024-06-30"
@@ -382,6 +383,18 @@ def test_several_facilities_at_once(spark):
         "facility = 'a'").collect()[0]
 
 
+def test_rows_without_a_number_are_ordered_by_facility(spark):
+    both = Clinic(spark, site="facility")
+    for site, name in (("b", "Alpha"), ("a", "Beta")):
+        for pid, hospital in ((1, None), (2, "5")):
+            both.patient(pid, hospital, facility=site)
+            both.obs(pid, 5089, "2024-05-01", number=50.0, facility=site)
+        both.add("global_property", property="Facility_Name", property_value=name, facility=site)
+    found = rows_of(programme_report(listed(both, site="facility"), END), "S/No.")
+    assert [(r["S/No."], r["Facility"], r["Hospital Number"]) for r in found] == [
+        (1, "Alpha", None), (2, "Alpha", "5"), (3, "Beta", None), (4, "Beta", "5")]
+
+
 def test_older_version_has_no_previous_status_date(clinic):
     clinic.patient(1, "1")
     clinic.pickup(1, "2024-01-01", 30)
