@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,23 +24,32 @@ def hospital_numbers(identifiers: DataFrame, site: Keys = (), normalise_ids: boo
         F.min("uuid").alias("uuid"))
 
 
-def biometric_status(tables: Mapping[str, DataFrame], site: Keys = (),
-                     normalise_ids: bool = False) -> DataFrame:
+BIOMETRIC_COLUMNS = (
+    "EnrollmentDate", "RecaptureDate", "RecaptureCount", "BiometricCaptured",
+    "BiometricCaptureDate", "ValidCapture",
+)
+
+
+def biometric_rows(tables: Mapping[str, DataFrame], site: Keys = (),
+                   normalise_ids: bool = False, more: Sequence[str] = ()) -> DataFrame:
     """Enrolment, capture, recapture and validity of prints per hospital number.
 
     A number that several patients share has the row of the smallest patient id.
+    ``more`` names identifiers to add.
     """
     s = key_list(site)
     patient = [*s, "patient_id"]
     captures = [*s, "patient_Id"]
     rows = live(tables["patient"]).select(*patient).join(
         hospital_numbers(tables["patient_identifier"], s, normalise_ids), patient)
-    unique_ids = live(tables["patient_identifier"]).filter(
-        F.col("identifier_type") == UNIQUE_ID).groupBy(*patient).agg(
-        F.min("identifier").alias("PatientUniqueID"))
+    if "PatientUniqueID" in more:
+        unique_ids = live(tables["patient_identifier"]).filter(
+            F.col("identifier_type") == UNIQUE_ID).groupBy(*patient).agg(
+            F.min("identifier").alias("PatientUniqueID"))
+        rows = rows.join(unique_ids, patient, "left")
     enrolled = live(tables["patient_program"]).filter(F.col("program_id") == PROGRAM).groupBy(
         *patient).agg(F.min("date_enrolled").alias("EnrollmentDate"))
-    rows = rows.join(unique_ids, patient, "left").join(enrolled, patient, "left")
+    rows = rows.join(enrolled, patient, "left")
     # First capture and validity come from one scan: templates are wide.
     prints = tables["biometricinfo"]
     per_patient = prints.groupBy(*captures).agg(
@@ -57,9 +66,13 @@ def biometric_status(tables: Mapping[str, DataFrame], site: Keys = (),
         "BiometricCaptureDate": F.col("first_capture").cast("date"),
         "ValidCapture": F.when(~captured, "").when(F.col("invalid"), "No").otherwise("Yes"),
     })
-    rolled = rollup_by_identifier(rows, [*s, "PatientHospitalNo"], [], [
-        "uuid", "PatientUniqueID", "EnrollmentDate", "RecaptureDate", "RecaptureCount",
-        "BiometricCaptured", "BiometricCaptureDate", "ValidCapture"], by="patient_id")
-    rolled = attach_parameters(
-        rolled, tables["global_property"], {"DatimCode": DATIM_PROPERTY}, s)
+    rolled = rollup_by_identifier(
+        rows, [*s, "PatientHospitalNo"], [], [*more, *BIOMETRIC_COLUMNS], by="patient_id")
     return rolled.withColumn("RecaptureDate", format_date("RecaptureDate"))
+
+
+def biometric_status(tables: Mapping[str, DataFrame], site: Keys = (),
+                     normalise_ids: bool = False) -> DataFrame:
+    """``biometric_rows`` with identifiers and facility code."""
+    rows = biometric_rows(tables, site, normalise_ids, ["uuid", "PatientUniqueID"])
+    return attach_parameters(rows, tables["global_property"], {"DatimCode": DATIM_PROPERTY}, key_list(site))

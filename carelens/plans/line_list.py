@@ -35,7 +35,7 @@ from carelens.operators.ordered import (
 )
 from carelens.operators.summaries import ENTRY_POINT, care_entry_point, rollup_by_identifier
 from carelens.plans import concepts as c
-from carelens.plans.biometrics import biometric_status, hospital_numbers
+from carelens.plans.biometrics import BIOMETRIC_COLUMNS, biometric_rows, hospital_numbers
 from carelens.plans.rules import drop_helpers, previous_status, quarter_status, returned_to_care
 from carelens.plans.tracking import FIRST_VISIT, OF_FIRST_VISIT, tracking_answers, tracking_rows
 
@@ -379,12 +379,10 @@ def line_list(tables: Mapping[str, DataFrame], start_date: dt.date | str,
     # rows of that concept are read here.
     asked = tables["obs"].filter(F.col("concept_id") == ENTRY_POINT)
     entry = entry_points({**tables, "obs": asked}, s, normalise_ids)
-    biometrics = biometric_status(tables, s, normalise_ids)
+    biometrics = biometric_rows(tables, s, normalise_ids)
     tracking = tracking_by_uuid(tables, start_date, end_date, s)
     rows = lookup_unique(rows, entry, number, ["CareEntryPoint"])
-    rows = lookup_unique(rows, biometrics, number, [
-        "EnrollmentDate", "BiometricCaptured", "BiometricCaptureDate", "ValidCapture",
-        "RecaptureDate", "RecaptureCount"])
+    rows = lookup_unique(rows, biometrics, number, BIOMETRIC_COLUMNS)
     key = [*s, "uuid"]
     rows = lookup_unique(rows, tracking, key, [x for x in tracking.columns if x not in key])
     rows = quarter_status(rows, end_date)

@@ -64,8 +64,7 @@ def tracking_rows(tables: Mapping[str, DataFrame], start_date: dt.date | str,
                   end_date: dt.date | str, site: Keys = ()) -> DataFrame:
     """``pivot_tracking`` with the columns that tell which visit was the first.
 
-    Only answers of the visits wanted are decoded, and they are reduced to one row per
-    encounter, so the join with the visits is one to one.
+    The visits wanted meet their answers before any answer is decoded.
     """
     s = key_list(site)
     patient, visit = [*s, "patient_id"], [*s, "encounter_id"]
@@ -75,15 +74,16 @@ def tracking_rows(tables: Mapping[str, DataFrame], start_date: dt.date | str,
     visits = tracked_in_window(
         live(tables["encounter"]), persons, start_date, end_date, TRACKING_FORM,
         encounter_person=patient, person=[*s, "person_id"])
-    answers = tables["obs"].filter(F.col("concept_id").isin(*ANSWERS)).join(
-        visits.select(*visit), visit, "left_semi")
-    named = decode_coded(answers, preferred_names(tables["concept_name"], site=s), site=s)
+    seen = attach_entered_by(visits, tables["users"], tables["person_name"], site=s).select(
+        *visit, "patient_id", F.struct(
+            F.col("encounter_datetime").alias(FIRST_VISIT[0]), F.col("encounter_id").alias(FIRST_VISIT[1]),
+            F.col("encounter_datetime").alias("TrackerTerminationDate"), "EnteredBy",
+            F.col("date_created").alias("DateCreated")).alias("__visit"))
+    answers = tables["obs"].filter(F.col("concept_id").isin(*ANSWERS)).select(
+        *visit, "concept_id", "value_coded", "value_datetime", "value_text", "obs_datetime")
+    named = decode_coded(seen.join(answers, visit, "left"),
+                         preferred_names(tables["concept_name"], site=s), site=s)
     outs = tracking_answers(end_date)
-    per_encounter = named.groupBy(*visit).agg(*[a.alias(out) for out, a in outs.items()])
-    seen = attach_entered_by(visits, tables["users"], tables["person_name"], site=s)
-    seen = seen.join(per_encounter, visit, "left").withColumns({
-        FIRST_VISIT[0]: F.col("encounter_datetime"), FIRST_VISIT[1]: F.col("encounter_id"),
-        "TrackerTerminationDate": F.col("encounter_datetime"), "DateCreated": F.col("date_created")})
 
     kind = F.col("identifier_type")
     numbers = tables["patient_identifier"].groupBy(*patient).agg(
@@ -97,8 +97,9 @@ def tracking_rows(tables: Mapping[str, DataFrame], start_date: dt.date | str,
                            death_date.alias("MarkAsDeseasedDeathDate"))
     people = match(live_ids.withColumn("__live", F.lit(True)), deaths, patient, [*s, "person_id"])
     # One row per patient first; soft-deleted patients merge in a second step.
-    per_patient = rollup_by_identifier(
-        seen, patient, list(outs), [*FIRST_VISIT, *OF_FIRST_VISIT], by=FIRST_VISIT)
+    per_patient = named.groupBy(*patient).agg(
+        *[a.alias(out) for out, a in outs.items()], F.min("__visit").alias("__visit"))
+    per_patient = per_patient.select(*patient, *outs, "__visit.*")
     per_patient = per_patient.join(numbers, patient, "left").join(people, patient, "left")
     per_patient = per_patient.withColumns({
         "patient_id": F.when(F.col("__live"), F.col("patient_id")),
