@@ -10,7 +10,7 @@ the words of the benchmark, block by block, reach the driver.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelens.llm import kernels as K
-from carelens.llm.joins import rows_of
+from carelens.llm.joins import content_key, rows_of
 from carelens.session import cut_lineage
 
 #: Consecutive words that have to be equal.
@@ -28,6 +28,8 @@ WINDOW = 13
 SEEDS = 2
 #: Benchmark words held at once, 8 bytes each in a task; a larger benchmark goes in blocks.
 BLOCK_WORDS = 1 << 21
+#: When a document counts as contaminated.
+CONTAMINATED = "n_hit > 0 and 20 * n_hit >= n_words"
 
 
 def _word_lists(df: DataFrame, column: str, keep: str) -> DataFrame:
@@ -61,8 +63,8 @@ def _term_counts(docs: DataFrame, terms: np.ndarray) -> DataFrame:
 INDEXED = "doc_id long, n_words long, digest long, postings array<struct<term: long, position: int>>"
 
 
-def _index(docs: DataFrame, terms: np.ndarray) -> DataFrame:
-    """A row for each document: its words, a digest of them and the postings of ``terms``."""
+def _index(docs: DataFrame, terms: np.ndarray, carried: Sequence[str] = ()) -> DataFrame:
+    """A row for each document: its words, a digest of them, the postings of ``terms``, what is carried."""
 
     def function(batch: pa.RecordBatch) -> Iterator[dict]:
         table = K.Lookup(terms)
@@ -77,9 +79,11 @@ def _index(docs: DataFrame, terms: np.ndarray) -> DataFrame:
             np.cumsum(np.bincount(words.row[hit], minlength=block.n), out=bounds[1:])
             yield {"doc_id": batch.column("doc_id")[block.rows], "n_words": words.count,
                    "digest": _digest(words),
-                   "postings": pa.ListArray.from_arrays(pa.array(bounds), each)}
+                   "postings": pa.ListArray.from_arrays(pa.array(bounds), each)} | {
+                       c: batch.column(c)[block.rows] for c in carried}
 
-    return K.map_batches(docs, function, T.StructType.fromDDL(INDEXED))
+    schema = T.StructType(T.StructType.fromDDL(INDEXED).fields + [docs.schema[c] for c in carried])
+    return K.map_batches(docs, function, schema)
 
 
 def _digest(words: K.Words) -> np.ndarray:
@@ -94,9 +98,12 @@ def _digest(words: K.Words) -> np.ndarray:
 class PositionalIndex:
     """Postings of the benchmark's rarest terms, and what they match."""
 
-    def __init__(self, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, seeds: int = SEEDS):
-        self.window = window
-        self.docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    def __init__(self, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, seeds: int = SEEDS,
+                 carried: Sequence[str] = ()):
+        """``carried``: further columns of ``docs`` that ``rows`` keeps."""
+        self.window, self.carried = window, carried
+        own = [F.col("doc_id").cast("long"), F.col("text").cast("string")]
+        self.docs, self.whole = docs.select(*own), docs.select(*own, *carried)
         texts = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string"))
         self.items = cut_lineage(
             _word_lists(texts, "text", "item").where("item is not null and size(words) > 0")
@@ -139,8 +146,8 @@ class PositionalIndex:
     def _stored_postings(self, blocks: list[DataFrame]) -> tuple[DataFrame, DataFrame]:
         if len(blocks) == 1:
             terms = self.seeds.select("term").distinct().collect()
-            stored = cut_lineage(_index(self.docs, np.unique(K.unsigned(
-                np.array([r.term for r in terms], dtype=np.int64)))).withColumn(
+            stored = cut_lineage(_index(self.whole, np.unique(K.unsigned(
+                np.array([r.term for r in terms], dtype=np.int64))), self.carried).withColumn(
                     "row_id", F.monotonically_increasing_id()))
             rows = stored
         else:
@@ -149,13 +156,13 @@ class PositionalIndex:
                 own = self.seeds.join(items.select("item_row"), "item_row", "left_semi")
                 terms = np.unique(K.unsigned(np.array(
                     [r.term for r in own.select("term").distinct().collect()], dtype=np.int64)))
-                part = cut_lineage(_index(self.docs, terms).withColumn(
+                part = cut_lineage(_index(self.whole, terms, self.carried).withColumn(
                     "row_id", F.monotonically_increasing_id()))
                 rows = part if stored is None else rows
                 stored = part if stored is None else stored.unionByName(part)
         postings = stored.select("doc_id", "digest", "n_words", F.explode("postings").alias("posting")) \
             .select("doc_id", "digest", "n_words", "posting.*").distinct()
-        return rows.select("row_id", "doc_id", "digest", "n_words"), postings
+        return rows.select("row_id", "doc_id", "digest", "n_words", *self.carried), postings
 
     def alignments(self) -> DataFrame:
         """doc_id, digest, item_row, shift: where the shifted lists of the rarest terms meet."""
@@ -204,7 +211,7 @@ class PositionalIndex:
         rows = self.rows.join(hits, F.col("doc_id").eqNullSafe(F.col("of_doc"))
                               & (F.col("digest") == F.col("of_digest")), "left")
         return rows.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-                           F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+                           F.coalesce("items", F.array().cast("array<string>")).alias("items"), *self.carried)
 
 
 def _digested(docs: DataFrame) -> DataFrame:
@@ -264,5 +271,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     words, null items and those without words match nothing, equal items count by their ids,
     repeated rows come back as often.
     """
-    return PositionalIndex(docs, benchmark, window).report().withColumn(
-        "contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))
+    return PositionalIndex(docs, benchmark, window).report().withColumn("contaminated", F.expr(CONTAMINATED))
+
+
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``docs`` without the rows that ``contamination`` finds, each decided by its own text."""
+    own = docs.withColumn("row_key", content_key())
+    found = PositionalIndex(own, benchmark, window, carried=("row_key",)).report().where(CONTAMINATED)
+    return rows_of(own, found.select("row_key"), "row_key", "left_anti").select(*docs.columns)

@@ -9,12 +9,10 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from carelens.llm import quality
-from carelens.llm.decontaminate import contamination
-from carelens.llm.jaccard_join import near_duplicates
-from carelens.llm.joins import rows_of
+from carelens.llm.decontaminate import uncontaminated
+from carelens.llm.jaccard_join import one_of_each
 from carelens.llm.mixing import equal_weights, mix
 from carelens.llm.queries import read, ship
 from carelens.llm.sharding import shard
@@ -33,18 +31,18 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates (five words, 0.8), the document with the smallest id."""
+    """Of each group of near duplicates (five words, 0.8), the row with the smallest id.
+
+    Rows of a null or repeated id are decided one by one; a null id is the largest.
+    """
     ship(spark)
-    groups = near_duplicates(docs, words=5, percent=80)
-    return rows_of(
-        docs, groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id"), how="left_anti")
+    return one_of_each(docs, words=5, percent=80)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that benchmark items do not contaminate."""
+    """Rows that benchmark items do not contaminate, whatever other rows of their id hold."""
     ship(spark)
-    found = contamination(docs, read(spark, sf_dir, "benchmark"))
-    return rows_of(docs, found.where("contaminated").select("doc_id"), how="left_anti")
+    return uncontaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

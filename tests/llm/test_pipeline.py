@@ -47,3 +47,19 @@ def test_run_gives_the_last_stage(spark):
     rows = corpus_pipeline.run(spark, SF_DIR).collect()
     assert {"doc_id", "text", "shard", "slot"} <= set(rows[0].asDict())
     assert len({(r.shard, r.slot) for r in rows}) == len(rows)
+
+
+def test_null_and_repeated_ids_are_decided_row_by_row(spark):
+    queries.ship(spark)
+    item = next(r.text for r in queries.read(spark, SF_DIR, "benchmark").collect() if len(r.text.split()) >= 13)
+    text = lambda k: " ".join(f"v{k}x{i}" for i in range(30))
+    rows = [(1, text(1), "a"), (None, text(1), "b"), (None, text(2), "c"), (2, text(3), "d"), (2, text(1), "e"),
+            (3, text(4), "f"), (3, text(4), "f"), (3, text(4), "g"), (None, text(5), "h"), (None, text(5), "i"),
+            (None, item, "j"), (4, item, "k"), (4, text(6), "l"), (None, "", "m"), (None, None, "n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.one_of_each_group(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    assert sorted(r.lang for r in kept.collect()) == ["a", "c", "d", "f", "h", "k", "l", "m", "n"]
+    clean = corpus_pipeline.decontaminated(spark, docs, SF_DIR)
+    assert clean.columns == docs.columns
+    assert Counter(r.lang for r in clean.collect()) == Counter(r[2] for r in rows if r[1] != item)
