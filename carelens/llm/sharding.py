@@ -1,6 +1,7 @@
 """Uniform shuffle into shards of exact size, by a hypergeometric communication matrix.
 
-Rows fall into source parts by a hash of their key.  How many rows of each part go to each
+Rows are stored once and numbered among those of equal key, then fall into source parts by a
+hash of key and number, so that copies of a row are dealt like any other rows.  How many rows of each part go to each
 shard is drawn so that every part gives all its rows and every shard gets its exact number:
 row by row, from what the shards can still take, which is the law of a uniform shuffle.  Then
 each part is permuted and dealt out by its row of the matrix, and each shard is permuted again.
@@ -16,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from carelens.session import cut_lineage
+
 #: Rows of one source part, or of one block of a shard, at most about so many.
 PART_ROWS = 1_000_000
 #: Parts for inputs that are smaller than that: one for each PART_LEAST rows, up to PARTS.
@@ -78,21 +81,41 @@ def communication_matrix(given: Sequence[int], taken: Sequence[int], seed: int)
     return matrix
 
 
+def _told_apart(stored: DataFrame) -> DataFrame:
+    """at and id of every row of ``stored`` (at, id); the second and later ones of an id get one of their own.
+
+    Rows are numbered within their id and task, and a task begins after the rows of those before:
+    no task gets all rows of an id.
+    """
+    task = F.shiftright("at", 33).alias("task")  # monotonically_increasing_id: the partition
+    each = stored.select("at", "id", task)
+    earlier = Window.partitionBy("id").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    begins = each.groupBy("id", "task").agg(F.count(F.lit(1)).alias("n")).select(
+        "id", "task", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("begin"))
+    number = F.row_number().over(Window.partitionBy("id", "task").orderBy("at")) - 1
+    nth = each.withColumn("number", number).join(begins, ["id", "task"]).select(
+        "at", "id", (F.col("begin") + F.col("number")).alias("nth"))
+    return cut_lineage(nth.select(
+        "at", F.when(F.col("nth") == 0, F.col("id")).otherwise(F.xxhash64("id", "nth")).alias("id")))
+
+
 def shard(docs: DataFrame, shards: int = 16, key: Sequence[str] = ("doc_id", "text"),
           seed: int = 20_25) -> DataFrame:
     """``docs`` with ``shard`` (0 to shards - 1) and ``slot`` (gapless from 0 in each shard).
 
     Shard sizes are at most one apart, and every assignment of rows to slots is equally
-    likely over seeds.  The same rows, shards and seed give the same result, up to a swap of
-    rows that are equal in ``key``.  Null keys count as a value.  Columns of the input that
+    likely over seeds, also of rows that are equal.  The same rows, shards and seed give the same
+    result, up to a swap of rows that are equal in ``key``.  Null keys count as a value.  Columns of the input that
     are named shard or slot are replaced.  An empty input gives no rows.
     """
     if shards < 1:
         raise ValueError("at least one shard is needed")
-    parts = parts_for(docs.count())
     kept = [c for c in docs.columns if c not in ("shard", "slot")]
     identity = F.xxhash64(*(F.col(c) for c in key))
-    rows = docs.select(F.struct(*kept).alias("row"), identity.alias("id"))
+    stored = cut_lineage(docs.select(F.struct(*kept).alias("row"), identity.alias("id"),
+                                     F.monotonically_increasing_id().alias("at")))
+    parts = parts_for(stored.count())
+    rows = _told_apart(stored)
     rows = rows.withColumn("part", F.pmod(_draw(seed), F.lit(parts)))
     given = {r.part: r.n for r in rows.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
     order = sorted(given)
@@ -119,7 +142,8 @@ def shard(docs: DataFrame, shards: int = 16, key: Sequence[str] = ("doc_id", "te
     again = Window.partitionBy("shard", "block").orderBy(_draw(seed + 3), "id")
     return (
         placed.withColumn("place", F.row_number().over(again)).join(begins, ["shard", "block"])
-        .select("row.*", "shard", (F.col("begin") + F.col("place") - 1).alias("slot"))
+        .select("at", "shard", (F.col("begin") + F.col("place") - 1).alias("slot"))
+        .join(stored.select("at", "row"), "at").select("row.*", "shard", "slot")
     )
 
 

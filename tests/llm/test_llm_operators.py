@@ -402,6 +402,19 @@ def test_shards_have_exact_sizes_and_gapless_slots(spark, rows, shards):
         assert sorted(r.slot for r in found if r.shard == k) == list(range(n))
 
 
+def test_copies_of_a_row_spread_over_shards(spark):
+    rows = [(1, "copy", "en", "s")] * 800 + [(None, None, "en", "s")] * 400 + [(k, f"t{k}", "en", "s") for k in range(2, 1202)]
+    docs = made(spark, rows).repartition(5)
+    first, again = (Counter((r.doc_id, r.text, r.shard, r.slot) for r in sharding.shard(d, 8).collect())
+                    for d in (docs, docs.coalesce(2)))
+    assert first == again and sum(first.values()) == len(rows)
+    for of, n in ((1, 800), (None, 400)):
+        by = Counter(s for i, _, s, _ in first if i == of)
+        assert len(by) == 8 and max(by.values()) < 1.5 * n / 8
+        slots = sorted(slot for i, _, s, slot in first if i == of and s == 0)
+        assert slots[-1] - slots[0] > 200 and len(slots) < 0.7 * (slots[-1] - slots[0])
+
+
 def test_the_matrix_has_the_law_of_a_shuffle():
     given, taken = [5, 9, 2], [4, 4, 8]
     seen = Counter()
