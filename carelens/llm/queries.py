@@ -143,7 +143,7 @@ from drawn, unnest(range(1, copies + 1)) as u(c)
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 50 words or more that stand in several documents, in each of them."""
-    return repeated_passages(read(ship(spark), sf_dir, "documents"))
+    return repeated_passages(read(ship(spark), sf_dir, "documents")).drop("held")
 
 
 def _predicted(rows: DataFrame, folds: int, held: int, least: float) -> DataFrame:

@@ -118,68 +118,95 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return own.select(F.xxhash64("doc_id", "text").alias("key"), "doc_id", "text")
 
 
+#: Texts to widen by: one that has a run's edge pair, and the one of the least id that has the
+#: edge pair of its first or last held stretch.
+PARTNERS = ("left", "right", "left_first", "right_first")
+
+
 def repeated_runs(docs: DataFrame) -> DataFrame:
-    """Runs of chunk pairs that other documents have too, with the other document at each end."""
+    """Runs of chunk pairs that other documents have too, with other documents at each end.
+
+    ``held``: the stretches whose pairs all stand in documents with smaller ids.
+    """
     pairs = _pairs(_keyed(docs))
+    named = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "key"))
     repeated = pairs.groupBy("digest").agg(
-        F.min("key").alias("low"), F.max("key").alias("high"), F.min("doc_id").alias("first_id")) \
-        .where("low <> high")
+        F.min("key").alias("low"), F.max("key").alias("high"), F.min(named).alias("least")).where("low <> high")
     shared = cut_lineage(
         pairs.join(repeated, "digest").select(
-            "key", "doc_id", "digest", "begin", "finish", "first_id",
-            F.expr("if(low = key, high, low)").alias("other")))
+            "key", "doc_id", "digest", "begin", "finish",
+            F.expr("if(low = key, high, low)").alias("other"),
+            F.expr("coalesce(least.doc_id < doc_id, least is not null)").alias("held"), "least.key")
+        .toDF("key", "doc_id", "digest", "begin", "finish", "other", "held", "first_key"))
     by = Window.partitionBy("key").orderBy("begin", "finish")
-    upto = F.max("finish").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    before = by.rowsBetween(Window.unboundedPreceding, -1)
+    upto, held_upto = F.max("finish").over(before), F.max(F.when(F.col("held"), F.col("finish"))).over(before)
     # A next pair shares a chunk with the last, so it begins before the last one's end.
     starts = F.when(upto.isNull() | (F.col("begin") >= upto), 1).otherwise(0)
-    numbered = shared.withColumn("starts", starts).withColumn("run", F.sum("starts").over(by))
-    edge = F.struct("digest", "other")
+    held_starts = F.when(F.col("held") & (held_upto.isNull() | (F.col("begin") >= held_upto)), 1).otherwise(0)
+    numbered = shared.withColumn("starts", starts).withColumn("held_starts", held_starts) \
+        .withColumn("run", F.sum("starts").over(by)) \
+        .withColumn("stretch", F.when(F.col("held"), F.sum("held_starts").over(by)).otherwise(0))
+    edge = F.struct("digest", "other", "first_key")
+    held = F.col("stretch") > 0
     runs = cut_lineage(
-        numbered.groupBy("key", "run").agg(
+        numbered.groupBy("key", "run", "stretch").agg(
             F.first("doc_id").alias("doc_id"), F.min("begin").alias("begin"), F.max("finish").alias("finish"),
-            F.min("first_id").alias("first_id"),
             F.min_by(edge, "begin").alias("left"), F.max_by(edge, "finish").alias("right"))
+        .groupBy("key", "run").agg(
+            F.first("doc_id").alias("doc_id"), F.min("begin").alias("own_begin"), F.max("finish").alias("own_finish"),
+            F.min_by("left", "begin").alias("left"), F.max_by("right", "finish").alias("right"),
+            F.min_by("left", F.when(held, F.col("begin"))).alias("left_first"),
+            F.max_by("right", F.when(held, F.col("finish"))).alias("right_first"),
+            F.array_sort(F.collect_list(F.when(held, F.struct("begin", "finish")))).alias("held"))
+        .withColumnsRenamed({"own_begin": "begin", "own_finish": "finish"})
         .withColumn("run_id", F.monotonically_increasing_id()))
     places = shared.groupBy("key", "digest").agg(F.min("begin").alias("begin"), F.min("finish").alias("finish"))
-    sides = runs.select("run_id", F.explode(F.array(
-        F.struct(F.lit("left").alias("side"), "left.*"), F.struct(F.lit("right").alias("side"), "right.*")
-    )).alias("edge")).select("run_id", "edge.side", "edge.digest", F.col("edge.other").alias("key"))
+    sides = runs.select("run_id", F.explode(F.array(*(
+        F.struct(F.lit(k).alias("side"), F.col(f"{k}.digest").alias("digest"),
+                 F.col(f"{k}.{'first_key' if 'first' in k else 'other'}").alias("key"))
+        for k in PARTNERS))).alias("edge")).select("run_id", "edge.*").where("key is not null")
     at = sides.join(places, ["key", "digest"]).groupBy("run_id").agg(
-        *(F.max(F.when(F.col("side") == side, F.struct("key", place))).alias(f"{side}_at")
-          for side, place in (("left", "begin"), ("right", "finish"))))
-    return runs.select("run_id", "key", "doc_id", "begin", "finish", "first_id").join(at, "run_id").select(
-        "run_id", "key", "doc_id", "begin", "finish", "first_id", F.col("left_at.key").alias("left_key"),
-        F.col("left_at.begin").alias("left_begin"), F.col("right_at.key").alias("right_key"),
-        F.col("right_at.finish").alias("right_finish"))
+        *(F.max(F.when(F.col("side") == k, F.struct(
+            "key", F.col("begin" if k.startswith("left") else "finish").alias("place")))).alias(f"{k}_at")
+          for k in PARTNERS))
+    return runs.select("run_id", "key", "doc_id", "begin", "finish", "held").join(at, "run_id")
 
 
-SPANS = "run_id long, doc_id long, begin int, finish int, n_words int, other_doc_id long, first boolean, passage string"
+SPANS = ("run_id long, doc_id long, begin int, finish int, n_words int, other_doc_id long, first boolean, "
+         "passage string, held array<struct<begin: int, finish: int>>")
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, begin, finish (bytes), n_words, other_doc_id, first, passage: a row for each
+    """doc_id, begin, finish (bytes), n_words, other_doc_id, first, passage, held: a row for each
     passage of ``min_words`` whole words or more whose parts stand, one after another, in other
     documents too.  ``other_doc_id`` has its beginning; most often it has all of it.
 
-    ``first``: no document with a smaller id has it, so it is the one to keep.  Repeats within
+    ``first``: a part of it stands in no document with a smaller id, so that part is the one
+    to keep.  ``held``: the spans that documents with smaller ids have, part after part: all
+    of the passage that was compared with them where it is not first, else stretches of
+    ``min_words`` or more.  A null id is the largest.  Repeats within
     one document, and between rows of equal id and text, do not count.  Null and empty texts
     have no passages.  A run is widened by AROUND bytes at most on either side.
     """
     runs = cut_lineage(repeated_runs(docs))
-    asked = runs.select("run_id", F.explode(F.array(
-        F.struct(F.lit("own").alias("kind"), F.col("key"), F.greatest(F.col("begin") - AROUND, F.lit(0)).alias("from"),
-                 (F.col("finish") + AROUND).alias("to")),
-        F.struct(F.lit("left").alias("kind"), F.col("left_key").alias("key"),
-                 F.greatest(F.col("left_begin") - AROUND, F.lit(0)).alias("from"), F.col("left_begin").alias("to")),
-        F.struct(F.lit("right").alias("kind"), F.col("right_key").alias("key"), F.col("right_finish").alias("from"),
-                 (F.col("right_finish") + AROUND).alias("to")))).alias("ask")).select("run_id", "ask.*")
+    before = lambda place: F.greatest(place - AROUND, F.lit(0)).alias("from")
+    asks = [F.struct(F.lit("own").alias("kind"), F.col("key"), before(F.col("begin")),
+                     (F.col("finish") + AROUND).alias("to"))]
+    for k in PARTNERS:
+        place = F.col(f"{k}_at.place")
+        span = (before(place), place.alias("to")) if k.startswith("left") else (
+            place.alias("from"), (place + AROUND).alias("to"))
+        asks.append(F.struct(F.lit(k).alias("kind"), F.col(f"{k}_at.key").alias("key"), *span))
+    asked = runs.select("run_id", F.explode(F.array(*asks)).alias("ask")).select("run_id", "ask.*") \
+        .where("key is not null")
     texts = rows_of(_keyed(docs), asked.select("key"), "key")
     part = F.substring(F.col("text").cast("binary"), F.col("from") + 1, F.col("to") - F.col("from"))
     got = texts.join(asked, "key").select("run_id", "kind", "doc_id", part.alias("bytes"))
     wide = got.groupBy("run_id").agg(
-        *(F.max(F.when(F.col("kind") == k, F.col("bytes"))).alias(k) for k in ("own", "left", "right")),
-        F.max(F.when(F.col("kind") == "left", F.col("doc_id"))).alias("other_doc_id"))
-    rows = runs.select("run_id", "doc_id", "begin", "finish", "first_id").join(wide, "run_id")
+        *(F.max(F.when(F.col("kind") == k, F.col("bytes"))).alias(k) for k in ("own", *PARTNERS)),
+        *(F.max(F.when(F.col("kind") == k, F.col("doc_id"))).alias(f"{k}_id") for k in PARTNERS))
+    rows = runs.select("run_id", "doc_id", "begin", "finish", "held").join(wide, "run_id")
     return _widen(rows, min_words).drop("run_id")
 
 
@@ -215,24 +242,45 @@ def _widen(rows: DataFrame, min_words: int) -> DataFrame:
             from_ = max(r["begin"] - AROUND, 0)
             own = r["own"]
             begin, end = r["begin"] - from_, r["finish"] - from_
-            begin -= _common_end(own[:begin], r["left"] or b"")
-            end += _common_start(own[end:], r["right"] or b"")
+            smaller = lambda k: r[f"{k}_id"] is not None and (  # noqa: B023, E731
+                r["doc_id"] is None or r[f"{k}_id"] < r["doc_id"])
+            left, right = _common_end(own[:begin], r["left"] or b""), _common_start(own[end:], r["right"] or b"")
+            spans = [[x["begin"] - from_, x["finish"] - from_] for x in r["held"]]
+            other = r["left_id"]
+            if spans:
+                a, z = spans[0][0], spans[-1][1]
+                spans[0][0] -= _common_end(own[:a], r["left_first"] or b"")
+                spans[-1][1] += _common_start(own[z:], r["right_first"] or b"")
+                if a == begin and smaller("left"):
+                    spans[0][0] = min(spans[0][0], begin - left)
+                if z == end and smaller("right"):
+                    spans[-1][1] = max(spans[-1][1], end + right)
+                if spans[0][0] <= begin - left:
+                    other = r["left_first_id"]
+            first = not (len(spans) == 1 and spans[0][0] <= begin and spans[0][1] >= end)
+            begin = min([begin - left, *(a for a, _ in spans)])
+            end = max([end + right, *(z for _, z in spans)])
             n, begin, end = whole_words(own, begin, end)
+            held = []
+            for a, z in spans:
+                m, a, z = whole_words(own, a, z)
+                if m >= (min_words if first else 1):
+                    held.append({"begin": from_ + a, "finish": from_ + z})
             if n >= min_words:
-                out.append((r["run_id"], r["doc_id"], from_ + begin, from_ + end, n, r["other_doc_id"],
-                            r["first_id"] == r["doc_id"], own[begin:end].decode("utf-8", "replace")))
+                out.append((r["run_id"], r["doc_id"], from_ + begin, from_ + end, n, other, first,
+                            own[begin:end].decode("utf-8", "replace"), held))
         yield dict(zip(names, zip(*out, strict=True) if out else [[]] * len(names), strict=True))
 
     return K.map_batches(rows, function, schema)
 
 
 def remove_repeats(docs: DataFrame, passages: DataFrame) -> DataFrame:
-    """``docs`` with the passages that are not first cut out of their texts.
+    """``docs`` with what documents of smaller ids hold of the passages cut out of their texts.
 
     Other columns stay; rows of one doc_id have to have one text.
     """
-    cut = passages.where(~F.col("first")).groupBy(F.col("doc_id").alias("cut_doc")).agg(
-        F.array_sort(F.collect_list(F.struct("begin", "finish"))).alias("cut_spans"))
+    cut = passages.groupBy(F.col("doc_id").alias("cut_doc")).agg(
+        F.array_sort(F.flatten(F.collect_list("held"))).alias("cut_spans"))
     kept = docs.columns
     joined = docs.select(F.struct(*kept).alias("row"), "doc_id", F.col("text").cast("binary").alias("bytes")).join(
         cut, F.col("doc_id") == F.col("cut_doc"), "left")

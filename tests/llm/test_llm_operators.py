@@ -271,6 +271,22 @@ def test_repeated_passages_are_found_and_short_ones_left(spark):
     assert rest[1] == rows[0][1] and rest[2] == rows[1][1].replace(long, "") and rest[6] == rows[5][1]
 
 
+def test_a_copy_stays_where_a_smaller_id_has_a_part_of_it(spark):
+    shared, other = passage(31, 120), passage(32, 90)
+    part = " ".join(shared.split()[40:65])
+    rows = [(3, passage(33, 80) + " " + part + " " + passage(34, 80), "", ""),
+            (10, passage(35, 70) + " " + shared + " " + passage(36, 50), "", ""),
+            (11, shared + " " + passage(37, 60), "", ""),
+            (12, passage(38, 60) + " " + other, "", ""), (13, passage(39, 60) + " " + other + " " + shared, "", "")]
+    docs = made(spark, rows)
+    found = substring_dedup.repeated_passages(docs)
+    assert {(r.doc_id, r.first) for r in found.collect() if shared in r.passage} == {
+        (10, True), (11, False), (13, False)}
+    rest = {r.doc_id: r.text for r in substring_dedup.remove_repeats(docs, found).collect()}
+    assert all(rest[k] == t for k, t, *_ in rows if k in (3, 10, 12))
+    assert rest[11] == " " + passage(37, 60) and len(rest[13].split()) < 70
+
+
 def test_odd_rows_have_the_passages_they_share(odd, empty):
     found = substring_dedup.repeated_passages(odd).collect()
     assert {(r.doc_id, r.n_words) for r in found} == {(5, 3000), (6, 3000)}
