@@ -106,7 +106,7 @@ class PositionalIndex:
         self.docs, self.whole = docs.select(*own), docs.select(*own, *carried)
         texts = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string"))
         self.items = cut_lineage(
-            _word_lists(texts, "text", "item").where("item is not null and size(words) > 0")
+            _word_lists(texts, "text", "item").where("size(words) > 0")
             .withColumn("item_row", F.monotonically_increasing_id()))
         blocks = self._blocks()
         parts = [self._seeds(block, seeds) for block in blocks]
@@ -268,8 +268,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     word is hit inside any occurrence of ``window`` consecutive words of an item of
     ``benchmark`` (item_id, text); an item of fewer, but not none, counts as a whole.  A
     document is contaminated when a twentieth of its words or more is hit.  Null texts have no
-    words, null items and those without words match nothing, equal items count by their ids,
-    repeated rows come back as often.
+    words, items without words match nothing, equal items count by their ids, an item with a
+    null id hits like others but is not listed, repeated rows come back as often.
     """
     return PositionalIndex(docs, benchmark, window).report().withColumn("contaminated", F.expr(CONTAMINATED))
 

@@ -390,6 +390,14 @@ def test_contamination_equals_brute_force(spark, odd):
                        if r.doc_id is not None) == Counter({k: v for k, v in expected.items() if k[0] is not None})
 
 
+def test_items_without_id_contaminate(spark):
+    docs = made(spark, [(1, "one two three", "", ""), (None, "one two", "", ""), (2, "three", "", ""), (3, None, "", "")])
+    items = spark.createDataFrame([(None, "one two"), (5, "three"), (None, None)], "item_id long, text string")
+    found = Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"]), r.contaminated)
+                    for r in contamination(docs, items).collect())
+    assert found == Counter([(1, 3, 3, ("5",), True), (None, 2, 2, (), True), (2, 1, 1, ("5",), True), (3, 0, 0, (), False)])
+
+
 def test_a_benchmark_in_blocks_gives_the_same(spark, monkeypatch):
     docs, benchmark = (queries.read(spark, SMALL, t) for t in ("documents", "benchmark"))
     whole = Counter(map(str, contamination(docs, benchmark).collect()))
