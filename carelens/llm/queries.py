@@ -17,9 +17,12 @@ from carelens.llm import token_counts as tc
 from carelens.llm.decontaminate import contamination
 from carelens.llm.fingerprints import compare_with_next
 from carelens.llm.jaccard_join import near_duplicates
+from carelens.llm.lexical_search import LexicalSearch
 from carelens.llm.mixing import equal_weights, mix
+from carelens.llm.packing import Limits, Packing
 from carelens.llm.sharding import shard
 from carelens.llm.substring_dedup import repeated_passages
+from carelens.llm.vector_codes import VectorCodes
 from carelens.session import cut_lineage, shared_folder, tune
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -185,8 +188,90 @@ def op10_hypergeometric_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 documents that match each benchmark item best."""
+    docs, benchmark = (read(ship(spark), sf_dir, t) for t in ("documents", "benchmark"))
+    return LexicalSearch(docs, benchmark).ranked().select("item_id", "rank", "doc_id", "score")
+
+
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+SQL11 = rf"""
+with words as (
+  select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '{TERM}')) as term from documents),
+sized as (select doc_id, count(*) as n from words group by doc_id),
+totals as (select cast(count(*) as bigint) as docs, cast(sum(n) as bigint) as all_terms from sized),
+counts as (select doc_id, term, count(*) as tf from words group by doc_id, term),
+weights as (select term, cast(floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double)) as bigint) as w
+  from counts, totals group by term, docs),
+wanted as (select distinct item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{TERM}')) as term from benchmark),
+scored as (select item_id, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf
+    + 20 * (100 - 50 + (50 * n * docs) // all_terms)))) as bigint) as score
+  from wanted join counts using (term) join weights using (term) join sized using (doc_id), totals
+  group by item_id, doc_id)
+select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank,
+  doc_id, score
+from scored where score > 0
+qualify row_number() over (partition by item_id order by score desc, doc_id) <= 50
+"""
+
+
+def op12_vector_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as tokens, packed into as few sequences of 2048 as best fit finds."""
+    import public_tokenizers
+
+    docs = read(ship(spark), sf_dir, "documents")
+    return Packing(docs, public_tokenizers.path("byte_bpe_50k.json"), Limits(2048)).places()
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of four parts for every vector, with codebooks of 256 entries fitted to all of them."""
+    codes = VectorCodes(read(ship(spark), sf_dir, "embeddings"))
+    return codes.codes().select("vec_id", "code", "error", "label_error",
+                                F.lit(codes.books.sha256()).alias("codebooks_sha256"))
+
+
+def _codes_sql(rounds: int) -> str:
+    """Every round in full: all distances, the least, then the means."""
+    near = """near{k} as materialized (
+  select rid, p, v, e, d from (
+    select x.rid, x.p, x.v, b.e, list_sum(list_transform(range(1, len(x.v) + 1),
+      lambda i: (x.v[i] - b.v[i]) * (x.v[i] - b.v[i]))) as d
+    from parts x join book{k} b using (p))
+  qualify row_number() over (partition by rid, p order by d, e) = 1)"""
+    book = """book{k} as materialized (
+  select b.p, b.e, coalesce(m.v, b.v) as v from book{j} b left join (
+    select p, e, list((s - ((s % n) + n) % n) // n order by i) as v from (
+      select p, e, i, sum(v[i]) as s, count(*) as n from near{j}, unnest(range(1, len(v) + 1)) as u(i)
+      group by p, e, i) group by p, e) m using (p, e))"""
+    steps = [near.format(k=0)]
+    for k in range(1, rounds + 1):
+        steps += [book.format(k=k, j=k - 1), near.format(k=k)]
+    return f"""
+with kept as materialized (
+  select row_number() over (order by vec_id) - 1 as rid, vec_id, label,
+    list_transform(embedding, lambda x: cast(floor(1024 * x::double) as bigint)) as c
+  from embeddings where embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+parts as materialized (
+  select rid, p, list_slice(c, p * len(c) // 4 + 1, (p + 1) * len(c) // 4) as v
+  from kept, unnest(range(0, 4)) as u(p)),
+book0 as materialized (select p, rid as e, v from parts where rid < 256),
+{", ".join(steps)},
+coded as (select rid, string_agg(printf('%02x', e), '' order by p) as code, cast(sum(d) as bigint) as error
+  from near{rounds} group by rid)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+  (select sha256(string_agg(cast(c as varchar), ',' order by p, e, i))
+   from (select p, e, generate_subscripts(v, 1) as i, unnest(v) as c from book{rounds})) as codebooks_sha256
+from coded join kept using (rid)
+"""
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_jaccard_join, op2_fingerprints, op3_language_id, op4_token_counts, op5_poisson_mixing,
     op6_substring_dedup, op7_quality_classifier, op8_toxicity, op9_decontamination,
-    op10_hypergeometric_sharding)}
-ORACLE: dict[str, str] = {"op4_token_counts": SQL4, "op5_poisson_mixing": SQL5}
+    op10_hypergeometric_sharding, op11_lexical_search, op12_vector_best_fit, op13_vector_codes)}
+ORACLE: dict[str, str] = {"op4_token_counts": SQL4, "op5_poisson_mixing": SQL5, "op11_lexical_search": SQL11,
+                          "op13_vector_codes": _codes_sql(4)}
