@@ -28,11 +28,6 @@ from carelens.operators.lookups import (
     lookup_unique,
     pivot_identifiers,
 )
-from carelens.operators.ordered import (
-    attach_child_values,
-    child_values,
-    refill_before,
-)
 from carelens.operators.summaries import ENTRY_POINT, care_entry_point, rollup_by_identifier
 from carelens.plans import concepts as c
 from carelens.plans.biometrics import BIOMETRIC_COLUMNS, biometric_rows, hospital_numbers
@@ -87,12 +82,20 @@ _ONE_PERSON = (
 
 
 def observation_facts(obs: DataFrame, names: DataFrame, end_date: dt.date | str,
-                      person: Keys, site: Keys = ()) -> DataFrame:
+                      person: Keys, site: Keys = (), visits: DataFrame | None = None) -> DataFrame:
     """Everything a line list takes from observations alone, one row per person.
 
     One scan.  Rows are first reduced per person, concept and coded answer (combined
     on the map side), then decoded, then shuffled by person once for the two remaining
     aggregations: per concept, and from concepts to columns.
+
+    With ``visits`` (one row per person, as ``visit_facts`` gives it) the same scan also yields
+    the refills that hang on them and the entry point.  A refill group and its children
+    then count a second time, in a grain of their own: one row per group with its
+    instants and its first child, which the columns of ``visits`` decide about.  The rows
+    of a person meet these columns in a join that is split where one person has very many
+    groups, and are reduced again before they are shuffled.  Persons with an entry point
+    but no listed observation have a row as well; ``any_listed`` tells them.
     """
     keys = key_list(person)
     ts, concept, code = F.col("obs_datetime"), F.col("concept_id"), F.col("value_coded")
@@ -101,9 +104,18 @@ def observation_facts(obs: DataFrame, names: DataFrame, end_date: dt.date | str,
     listed = is_live & in_time & concept.isin(*c.LISTED)
     dtg = code.isin(*c.DTG_CODES)
     sample = (concept == c.SAMPLE_DATE) & in_time
-    rows = obs.filter(listed | (is_live & ((concept == c.VIRAL_LOAD) | dtg)) | sample)
-
-    listed_ts = F.when(listed, ts)
+    is_group = (concept == c.REFILL_GROUP) & in_time
+    is_child = is_live & (concept == c.REFILL_DAYS) & F.col("obs_group_id").isNotNull()
+    wanted = listed | (is_live & ((concept == c.VIRAL_LOAD) | dtg)) | sample
+    if visits is None:
+        rows = obs.filter(wanted).withColumn("in_group", F.lit(False))
+    else:
+        wanted = wanted | is_group | is_child | (is_live & (concept == ENTRY_POINT))
+        grains = F.when(is_group | is_child, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+        rows = obs.filter(wanted).withColumn("in_group", F.explode(grains))
+    in_group = F.col("in_group")
+
+    listed_ts = F.when(listed & ~in_group, ts)
 
     # The slot a concept is read from, after what decides among equal instants: the
     # slots a concept does not use stay NULL and so never decide.
@@ -113,15 +125,42 @@ def observation_facts(obs: DataFrame, names: DataFrame, end_date: dt.date | str,
         F.when(concept.isin(*NUMERIC), F.col("value_numeric")).alias("numeric"),
         F.when(concept.isin(c.SAMPLE_DATE, *DATED), F.col("value_datetime")).alias("datetime"),
     )
-    per_answer = rows.groupBy(*keys, "concept_id", "value_coded").agg(
+    grain = [F.when(~in_group, concept).alias("concept_id"), F.when(~in_group, code).alias("value_coded")]
+    states = [
         F.max(listed_ts).alias("last"),
         F.min(listed_ts).alias("first"),
-        F.max(F.when(is_live, ts)).alias("any_last"),
-        F.min(F.when(is_live, ts)).alias("any_first"),
-        F.max(F.when(listed | sample, newest)).alias("newest"),
-    )
-    answers = decode_coded(per_answer, names, site=site).repartition(*keys)
+        F.max(F.when(is_live & ~in_group, ts)).alias("any_last"),
+        F.min(F.when(is_live & ~in_group, ts)).alias("any_first"),
+        F.max(F.when((listed | sample) & ~in_group, newest)).alias("newest"),
+    ]
+    if visits is None:
+        answers = decode_coded(rows.groupBy(*keys, *grain).agg(*states), names, site=site).repartition(*keys)
+        more, carried = [], []
+    else:
+        group_row = in_group & (concept == c.REFILL_GROUP)
+        grain.append(F.when(group_row, F.col("obs_id")).when(in_group, F.col("obs_group_id")).alias("group_id"))
+        first_child = F.min(F.when(in_group & ~group_row, F.struct("obs_id", "value_numeric")))
+        states += [
+            F.max(F.when(group_row, ts)).alias("group_at"),
+            F.max(F.when(group_row & is_live, ts)).alias("live_group_at"),
+            F.round(first_child["value_numeric"]).cast("int").alias("child"),
+        ]
+        answers = decode_coded(rows.groupBy(*keys, *grain).agg(*states), names, site=site)
+        answers = match_many(answers, visits, keys, keys)
+        group = F.struct("group_id", "child")
+        newest_group = F.struct("live_group_at", "group_id", "child")
+        more = [
+            F.max(F.when(F.col("live_group_at").isNotNull(), newest_group))["child"].alias("DaysOfARVRefil"),
+            F.max(F.when(F.col("group_at") < F.col("latest_pickup"), group))["child"].alias("PreviousDaysOfARVRefil"),
+            F.max(F.when(F.col("group_id") == F.col("quarter_group"), F.col("child"))).alias("DrugDurationPreviousQuarter"),
+            F.max(F.when((concept == ENTRY_POINT) & F.col("any_last").isNotNull(), F.col("name"))).alias("CareEntryPoint"),
+        ]
+        carried = ["DaysOfARVRefil", "PreviousDaysOfARVRefil", "DrugDurationPreviousQuarter", "CareEntryPoint"]
+        for column in (x for x in visits.columns if x not in (*keys, "quarter_group")):
+            more.append(F.max(column).alias(column))
+            carried.append(column)
     per_concept = answers.groupBy(*keys, "concept_id").agg(
+        *more,
         F.max("last").alias("last"),
         F.max("any_last").alias("any_last"),
         F.max("newest").alias("newest"),
@@ -144,7 +183,6 @@ def observation_facts(obs: DataFrame, names: DataFrame, end_date: dt.date | str,
         of(c.ART_START, "datetime").alias("ARTStartDate"),
         of(c.TRANSFER_IN, "name").alias("TransferInStatus"),
         of(c.PICKUP, "last").alias("last_visit"),
-        of(c.REFILL_GROUP, "id").alias("latest_group"),
         of(c.REFILL_DAYS, "numeric").alias("standing_refill"),
         of(c.PICKUP, "first_name").alias("InitialRegimenLine"),
         of(c.REGIMENS, "first_name").alias("InitialRegimen"),
@@ -171,8 +209,11 @@ def observation_facts(obs: DataFrame, names: DataFrame, end_date: dt.date | str,
         F.max("dtg_name").alias("DTGFirstPickUp"),
         F.min("first_dtg").cast("date").alias("first_dtg"),
         of(c.OUTCOME_REASON, "name").alias("reason"),
+        *[F.max(x).alias(x) for x in carried],
     )
-    return wide.filter(F.col("any_listed").isNotNull()).drop("any_listed")
+    if visits is None:
+        return wide.filter(F.col("any_listed").isNotNull()).drop("any_listed")
+    return wide.filter(F.col("any_listed").isNotNull() | F.col("CareEntryPoint").isNotNull())
 
 
 def visit_facts(obs: DataFrame, encounters: DataFrame, names: DataFrame,
@@ -252,30 +293,23 @@ def attach_facility_columns(df: DataFrame, tables: Mapping[str, DataFrame], site
 
 def person_rows(tables: Mapping[str, DataFrame], end_date: dt.date | str,
                 site: Keys = ()) -> DataFrame:
-    """One row per live patient with a listed observation as of the date.
+    """One row per patient with a listed observation as of the date, or an entry point.
 
-    All parts are aggregates by person, so they are partitioned alike and join
-    without another shuffle.
+    ``listed`` is whether the patient is live and has such an observation; others, soft-deleted
+    ones among them, have a row for their entry point alone.  Observations are read twice:
+    once for what visits decide about, once for everything else.
     """
     s = key_list(site)
     person = [*s, "person_id"]
     obs, encounters = tables["obs"], tables["encounter"]
     names = preferred_names(tables["concept_name"], site=s)
-    facts = observation_facts(obs, names, end_date, person, s)
     visits = visit_facts(obs, encounters, names, end_date, person, s)
-    groups = as_of(obs, "obs_datetime", end_date).filter(F.col("concept_id") == c.REFILL_GROUP)
-    before = refill_before(groups, visits, "latest_pickup", person).withColumnRenamed(
-        "group_id", "previous_group")
-    patients = live(tables["patient"]).select(*s, F.col("patient_id").alias("person_id"))
-    rows = facts.join(patients, person, "left_semi")
-    for part in (visits, before):
-        rows = rows.join(part, person, "left")
-    children = child_values(obs, c.REFILL_DAYS, ["obs_group_id", *person])
-    rows = attach_child_values(rows, children, {
-        "DaysOfARVRefil": "latest_group",
-        "PreviousDaysOfARVRefil": "previous_group",
-        "DrugDurationPreviousQuarter": "quarter_group",
-    }, person, ["obs_group_id", *person])
+    facts = observation_facts(obs, names, end_date, person, s, visits)
+    patients = tables["patient"].groupBy(*s, F.col("patient_id").alias("person_id")).agg(
+        F.max(F.col("voided") == 0).alias("is_live"))
+    rows = facts.join(patients, person).withColumn(
+        "listed", F.col("any_listed").isNotNull() & F.coalesce("is_live", F.lit(False)))
+    rows = rows.filter(F.col("listed") | F.col("CareEntryPoint").isNotNull()).drop("any_listed")
     rows = attach_demographics(
         rows, tables["person"], tables["person_name"], tables["person_attribute"],
         tables["person_attribute_type"], tables["person_address"], person, s)
@@ -296,7 +330,8 @@ def hospital_rows(tables: Mapping[str, DataFrame], end_date: dt.date | str,
     """Person rows merged per hospital number, with the columns derived from them.
 
     Persons who share a number keep their largest values; name, birth date, identifiers
-    and previous pickup are those of the person with the smallest id.
+    and previous pickup are those of the listed person with the smallest id.  The entry point
+    is the largest of everybody with the number, listed or not.
     """
     s = key_list(site)
     person, patient = [*s, "person_id"], [*s, "patient_id"]
@@ -305,8 +340,16 @@ def hospital_rows(tables: Mapping[str, DataFrame], end_date: dt.date | str,
     rows = match(rows, hospital_numbers(tables["patient_identifier"], s, normalise_ids), person, patient)
     rows = match(rows, pivot_identifiers(tables["patient_identifier"], others, patient),
                  person, patient)
+    # Numbers of soft-deleted patients do not count, nor does anything of patients that are
+    # not listed but their entry point.
+    rows = rows.withColumns({
+        "PatientHospitalNo": F.when(F.coalesce("is_live", F.lit(False)), F.col("PatientHospitalNo")),
+        **{x: F.when(F.col("listed"), F.col(f"`{x}`")) for x in _LARGEST},
+        "unlisted": ~F.col("listed"),
+    })
     rolled = rollup_by_identifier(
-        rows, [*s, "PatientHospitalNo"], _LARGEST, _ONE_PERSON, by="person_id")
+        rows, [*s, "PatientHospitalNo"], [*_LARGEST, "CareEntryPoint"], [*_ONE_PERSON, "unlisted"],
+        by=["unlisted", "person_id"]).filter(~F.col("unlisted")).drop("unlisted")
     due = next_visit("last_visit", "standing_refill")
     derived = rolled.withColumns({
         "Age": age_years("DOB", end_date),
@@ -375,13 +418,8 @@ def line_list(tables: Mapping[str, DataFrame], start_date: dt.date | str,
     s = [site] if site else []
     rows = hospital_rows(tables, end_date, now_date, s, normalise_ids)
     number = [*s, "PatientHospitalNo"]
-    # Persons without an entry point add nothing to a number's largest, so only the
-    # rows of that concept are read here.
-    asked = tables["obs"].filter(F.col("concept_id") == ENTRY_POINT)
-    entry = entry_points({**tables, "obs": asked}, s, normalise_ids)
     biometrics = biometric_rows(tables, s, normalise_ids)
     tracking = tracking_by_uuid(tables, start_date, end_date, s)
-    rows = lookup_unique(rows, entry, number, ["CareEntryPoint"])
     rows = lookup_unique(rows, biometrics, number, BIOMETRIC_COLUMNS)
     key = [*s, "uuid"]
     rows = lookup_unique(rows, tracking, key, [x for x in tracking.columns if x not in key])

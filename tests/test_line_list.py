@@ -360,6 +360,43 @@ def test_entry_point_is_of_all_time(clinic):
     assert one(clinic)["CareEntryPoint"] == "OPD"
 
 
+def test_entry_point_counts_everybody_with_the_number(clinic):
+    """Also patients that are not listed; soft-deleted ones have no number."""
+    for code, name in ((1, "ANC"), (2, "OPD"), (3, "TB")):
+        clinic.name(code, name)
+    clinic.patient(1, "7")
+    clinic.patient(2, "7", gender="M")
+    clinic.patient(3, "7", voided=1)
+    clinic.patient(4)
+    clinic.patient(5, "9")
+    clinic.obs(1, 5089, "2024-01-01", number=50.0)
+    clinic.obs(1, 160540, "2024-01-01", coded=1)
+    clinic.obs(2, 160540, "2025-01-01", coded=2)
+    clinic.obs(3, 160540, "2024-01-01", coded=3)
+    clinic.obs(3, 5089, "2024-01-01", number=90.0)
+    clinic.obs(4, 5089, "2024-01-01", number=60.0)
+    clinic.obs(5, 160540, "2024-01-01", coded=1)
+    found = rows_of(listed(clinic), "PatientHospitalNo")
+    assert [(r["PatientHospitalNo"], r["CareEntryPoint"], r["Sex"], r["CurrentWeight_Kg"]) for r in found] == [
+        ("7", "OPD", "F", 50.0), (None, "TB", "F", 60.0)]
+
+
+def test_refills_of_the_latest_previous_and_quarter_group(clinic):
+    """Deleted groups count before the latest pickup, children by the smallest live id."""
+    clinic.patient(1, "1")
+    first = clinic.pickup(1, "2024-02-01", 30)
+    clinic.obs(1, 159368, "2024-02-01", number=99.0, group=first)
+    late = clinic.obs(1, 162240, "2024-02-10", voided=1)
+    clinic.obs(1, 159368, "2024-02-10", number=11.0, group=late, voided=1)
+    clinic.obs(1, 159368, "2025-01-01", number=12.4, group=late)
+    clinic.pickup(1, "2024-06-05", 60)
+    clinic.pickup(1, "2024-07-05", 70)
+    row = one(clinic)
+    assert (row["DaysOfARVRefil"], row["DrugDurationPreviousQuarter"]) == (60, 30)
+    # 2024-02-01 + 12 + 29 is long before the pickup of June: the group of the deleted row decided.
+    assert row["PreviousARTStatusDate"] == at("2024-03-13")
+
+
 def test_several_facilities_at_once(spark):
     def fill(clinic, site, weight):
         clinic.patient(1, "1", facility=site)
