@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from carelens.bindings import clinical_queries
@@ -19,9 +21,11 @@ from carelens.bindings.stages_sql import (
     numbered,
     report_columns,
 )
-from carelens.bindings.tables import PICKUP_END
+from carelens.bindings.tables import PICKUP_END, table
 from carelens.functions import blank_to_null
 from carelens.plans import baseline, report
+from carelens.session import shared_folder
+from carelens.sources import publish, read_line_list, read_published, write_line_list
 
 
 def _prepared(spark, sf):
@@ -95,11 +99,42 @@ def line_list_report(spark, sf):
     return report.programme_report(clinical_queries.line_list(spark, sf), PICKUP_END)
 
 
+def _stage_cells(spark, sf):
+    """Customers as line-list rows with line breaks, quotes, separators and blanks in their cells."""
+    customer, home = table(spark, sf, "customer"), F.col("c_nationkey")
+    return customer.select(
+        F.concat(F.lit("c-"), F.col("c_custkey").cast("string")).alias("uuid"),
+        F.concat(F.lit("State "), (home % 5).cast("string")).alias("State"),
+        F.when(home % 5 == 0, "").when(home % 5 == 1, "F").otherwise("M").alias("Sex"),
+        F.concat(F.col("c_name"), F.lit('\n"ward", '), home.cast("string"), F.lit("\r\n")).alias("Patient_Address"),
+        F.concat(F.lit('  "'), "c_mktsegment", F.lit('\\" ,  ')).alias("OtherCauseOfDeath"),
+        home.alias("Age"), F.date_add(F.lit("1960-01-01").cast("date"), home * 300).alias("DOB"),
+        F.date_add(F.lit("2001-01-01").cast("date"), home).cast("timestamp_ntz").alias("LastPickupDate"))
+
+
+def stage_round_trip(spark, sf):
+    """A line list as delimited text, written and read again."""
+    path = f"{shared_folder(spark)}/carelens-stage-{uuid.uuid4().hex}"
+    write_line_list(_stage_cells(spark, sf), path, "csv")
+    return read_line_list(spark, path, "csv", corrupt="corrupt")
+
+
+def published_runs(spark, sf):
+    """Two dates, of which the second is published again with other rows."""
+    path = f"{shared_folder(spark)}/carelens-published-{uuid.uuid4().hex}"
+    rows = _stage_cells(spark, sf).select("uuid", "State", "Age")
+    publish(rows, path, "2001-03-31")
+    publish(rows.filter("Age < 20"), path, "2001-06-30")
+    publish(rows.filter("Age >= 20"), path, "2001-06-30")
+    return read_published(spark, path).groupBy("end_date", "State").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("Age").alias("ages"))
+
+
 QUERIES = {f.__name__: f for f in (
     blank_columns, report_projection, report_status, programme_report, programme_report_quarter,
     baseline_lookup, merge_baseline, programme_report_baseline, programme_report_repeated,
     programme_report_reactivated,
-    line_list_report)}
+    line_list_report, stage_round_trip, published_runs)}
 
 _STAGED = f"WITH {ORDERS}, {STAGE}, {numbered()}"
 _REPORT = f"{_STAGED}, {final('numbered')}"
@@ -160,6 +195,19 @@ _LL_FILLED = {**FILLED, "ARTStartDate": "art_start", "VA Cause of Dead": "other"
               "CurrentRegimenLine": _LL_LINE.format("line")}
 
 ORACLE = {
+    "stage_round_trip": """
+SELECT 'c-' || c_custkey AS uuid, 'State ' || c_nationkey % 5 AS "State",
+  CASE c_nationkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'F' ELSE 'M' END AS "Sex",
+  c_name || chr(10) || '"ward", ' || c_nationkey || chr(13) || chr(10) AS "Patient_Address",
+  '  "' || c_mktsegment || '\\" ,  ' AS "OtherCauseOfDeath", CAST(c_nationkey AS INTEGER) AS "Age",
+  CAST(DATE '1960-01-01' + CAST(c_nationkey * 300 AS INTEGER) AS DATE) AS "DOB",
+  CAST(DATE '2001-01-01' + CAST(c_nationkey AS INTEGER) AS TIMESTAMP) AS "LastPickupDate",
+  CAST(NULL AS VARCHAR) AS corrupt
+FROM customer""",
+    "published_runs": """
+SELECT end_date, 'State ' || c_nationkey % 5 AS "State", count(*) AS n_rows, sum(c_nationkey) AS ages
+FROM customer, (VALUES (DATE '2001-03-31', 0), (DATE '2001-06-30', 20)) AS runs(end_date, least)
+WHERE c_nationkey >= least GROUP BY ALL""",
     "blank_columns": f"{_STAGED} SELECT uuid, {BLANKS} FROM stage",
     "report_projection": f"{_STAGED} SELECT {report_columns(_UNRULED)} FROM stage",
     "report_status": f"""

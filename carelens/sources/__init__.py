@@ -1,12 +1,15 @@
 """Reading the clinical tables and the stage files, writing the outputs."""
 
 from carelens.sources.stages import (
+    publish,
     read_baseline,
     read_line_list,
+    read_published,
+    retired_runs,
     write_line_list,
     write_report,
 )
 from carelens.sources.tables import SCHEMAS, load_clinical
 
-__all__ = ["SCHEMAS", "load_clinical", "read_baseline", "read_line_list",
-           "write_line_list", "write_report"]
+__all__ = ["SCHEMAS", "load_clinical", "publish", "read_baseline", "read_line_list",
+           "read_published", "retired_runs", "write_line_list", "write_report"]

@@ -75,3 +75,51 @@ def test_a_database_is_never_read_in_one_task_unasked(spark):
         sources.load_clinical(spark, {"url": "jdbc:none"})
     with pytest.raises(ValueError, match="patient_program"):
         sources.load_clinical(spark, {"url": "jdbc:none"}, bounds={"obs": (1, 2)})
+
+
+ODD_CELLS = ("first\nsecond", "carriage\r\nreturn", 'a "quoted" word', '"', '""', "a, b, c", "  both  ", "back\\slash",
+             '\\"', "'", "#not a comment", " ", "tab\there", "é世界", ",", "\n", 'end"\n"', "null", "NaN")
+
+
+@pytest.mark.parametrize("write, read", [(sources.write_line_list, sources.read_line_list),
+                                         (sources.write_report, sources.read_baseline)])
+def test_cells_of_delimited_text_come_back_whole(spark, tmp_path, write, read):
+    rows = [(f"u{k}", cell, ODD_CELLS[-k - 1]) for k, cell in enumerate(ODD_CELLS)] + [("v", None, ""), ("w", "", None)]
+    df = spark.createDataFrame(rows, "uuid string, Patient_Address string, OtherCauseOfDeath string")
+    write(df.repartition(2), f"{tmp_path}/cells", "csv")
+    back = read(spark, f"{tmp_path}/cells", "csv", corrupt="_corrupt")
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(
+        [(a, b or None, c or None, None) for a, b, c in rows], key=str)
+
+
+def test_rows_that_do_not_fit_the_header_are_told(spark, tmp_path):
+    (tmp_path / "list.csv").write_text('uuid,Sex,Age\nu1,F,30\nu2,M\nu3,F,31,more\n"u4","M\nF",32\n')
+    found = {r["uuid"]: r for r in sources.read_line_list(spark, f"{tmp_path}/list.csv", "csv", corrupt="_corrupt").collect()}
+    assert {u: r["_corrupt"] for u, r in found.items()} == {"u1": None, "u2": "u2,M", "u3": "u3,F,31,more", "u4": None}
+    assert found["u4"]["Sex"] == "M\nF" and found["u4"]["Age"] == 32
+    assert sources.read_line_list(spark, f"{tmp_path}/list.csv", "csv").columns == ["uuid", "Sex", "Age"]
+
+
+def test_a_second_run_of_a_date_replaces_just_that_date(spark, tmp_path):
+    made = lambda *rows: spark.createDataFrame(list(rows), "State string, uuid string, Age int")
+    path = f"{tmp_path}/published"
+    sources.publish(made(("A", "a", 1), ("B", "b", 2)), path, "2024-03-31")
+    first = sources.publish(made(("A", "a", 3), ("B", "b", 4), (None, "c", 5)), path, "2024-06-30")
+    sources.publish(made(("A", "a", 6)), path, "2024-06-30")
+    found = sorted((str(r["end_date"]), r["State"], r["uuid"], r["Age"]) for r in sources.read_published(spark, path).collect())
+    assert found == [("2024-03-31", "A", "a", 1), ("2024-03-31", "B", "b", 2), ("2024-06-30", "A", "a", 6)]
+    assert [r["Age"] for r in sources.read_published(spark, path, "2024-06-30").collect()] == [6]
+    assert [r["run"] for r in sources.retired_runs(spark, path).collect()] == [first]
+
+
+def test_a_run_that_fails_changes_nothing(spark, tmp_path):
+    from pyspark.errors import PySparkException
+    from pyspark.sql import functions as F
+
+    path = f"{tmp_path}/published"
+    good = spark.createDataFrame([("A", "a", 1), ("B", "b", 2)], "State string, uuid string, Age int")
+    sources.publish(good, path, "2024-06-30")
+    bad = good.withColumn("Age", F.when(F.col("State") == "B", F.raise_error(F.lit("lost")).cast("int")).otherwise(9))
+    with pytest.raises(PySparkException):
+        sources.publish(bad, path, "2024-06-30")
+    assert sorted(r["Age"] for r in sources.read_published(spark, path).collect()) == [1, 2]
