@@ -9,18 +9,26 @@ elements in that order with each of them (n - t * n + 1 for a similarity of t).
 3. the order is cut into fragments; for classes that meet, the common elements are counted in
    each fragment on its own, and the partial counts are summed for each pair;
 4. in each signature all are first compared with its most typical class.  Classes joined by
-   that need no further comparison.  The others are compared with each other where the places
-   of the signature in both sets, less the elements nobody shares, leave room for enough
-   common ones.  Pairs of either kind are counted only if they share enough signatures.
-
-Step 4 keeps a group of thousands of near copies from becoming all its pairs, and loses no
-link that would join two components.  Common shingles are learned from a sample of documents;
-they only decide the order, and every order gives the same result.
+   that need no further comparison;
+5. where many others are left, they meet in what sets them apart.  Classes of about one size
+   in a signature have a centre, and each is the centre's set less what it lacks, plus what it
+   adds.  Two of them have in common as much as the centre has, less what either lacks, plus
+   what their differences share; so unless both are linked to the centre, similar ones share a
+   number of elements of their differences that is known beforehand, hence one of the first
+   few in an order by rarity.  There, step 4 is done once more;
+6. in all other signatures classes are compared with each other where the places of the
+   signature in both sets, less the elements nobody shares, leave room for enough common ones.
+   Pairs are counted only if they share enough signatures.
+
+Steps 4 and 5 keep a group of thousands of near copies, linked or not, from becoming all its
+pairs, and lose no link that would join two components.  Common shingles are learned from a
+sample of documents; they only decide the order, and every order gives the same result.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -41,6 +49,8 @@ SEGMENT_ROWS = 2048
 #: Documents that common shingles are learned from: at least, and as a share of all; how often
 #: a common one stands there, and how many are held (8 bytes each in a task).
 SAMPLE_ROWS, SAMPLE_SHARE, COMMON_TIMES, COMMON = 20_000, 0.02, 3, 400_000
+#: Classes of one signature that are compared with each other; more meet in their differences.
+CROWD = 48
 
 
 @dataclass(frozen=True)
@@ -203,12 +213,119 @@ class JaccardJoin:
             .select(F.col("centre.class_id").alias("a"), F.col("class_id").alias("b"),
                     F.col("centre.n").alias("a_n"), F.col("n").alias("b_n")).distinct()
         )
-        first = self._similar(self._counted(self._share_enough(to_centre, lists)))
-        found = components(first)
-        rest = self._similar(self._counted(self._share_enough(self._rest(shared, found, all_links), lists)))
-        return cut_lineage(first.union(rest).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
+        links = self._similar(self._counted(self._share_enough(to_centre, lists)))
+        found = components(links)
+        member = self._undecided(shared, found, all_links)
+        if not all_links:
+            size = member.groupBy("signature").agg(F.count(F.lit(1)).alias("crowd"))
+            member = cut_lineage(member.join(size, "signature"))
+            crowded = member.where(f"crowd > {CROWD}")
+            if not crowded.isEmpty():
+                links = self._crowd_links(crowded.join(score, "class_id"), links)
+                found = components(links)
+            member = self._undecided(member.where(f"crowd <= {CROWD}").drop("root"), found, all_links)
+        rest = self._similar(self._counted(self._share_enough(self._rest(member, all_links), lists)))
+        return cut_lineage(links.union(rest).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
                                                     "common").distinct())
 
+    def _undecided(self, shared: DataFrame, found: DataFrame, all_links: bool) -> DataFrame:
+        """``shared`` with the component of each class, where a signature has several."""
+        member = shared.join(found.withColumnRenamed("node", "class_id"), "class_id", "left") \
+            .withColumn("root", F.coalesce("root", "class_id"))
+        if not all_links:
+            roots = member.groupBy("signature").agg(F.min("root").alias("least"), F.max("root").alias("most"))
+            member = member.join(roots.where("least < most").select("signature"), "signature")
+        return cut_lineage(member.select("signature", "class_id", "n", "root", "place", "known", "last"))
+
+    def _crowd_links(self, member: DataFrame, links: DataFrame) -> DataFrame:
+        """``links`` and those that the differences of ``member`` (signature, class_id, n, score) show."""
+        # Sizes of similar sets lie in one band or two that adjoin, which meet in the upper one.
+        width = math.log(100 / self.rule.percent) * (1 + 1e-9) or 1e-12
+        band = F.floor(F.log(F.col("n").cast("double")) / width)
+        banded = member.withColumn("band", F.explode(F.array(band, band + 1)))
+        centre = banded.groupBy("signature", "band").agg(
+            F.max(F.struct("score", "class_id", "n")).alias("centre"), F.count(F.lit(1)).alias("own")).where("own > 1")
+        around = banded.join(cut_lineage(centre), ["signature", "band"]).where("class_id <> centre.class_id").select(
+            F.col("centre.class_id").alias("a"), F.col("class_id").alias("b"),
+            F.col("centre.n").alias("a_n"), F.col("n").alias("b_n")).distinct()
+        apart = self._differences(cut_lineage(around))
+        to_centre = apart.select("a", "b", "a_n", "b_n", (F.col("a_n") - F.col("lacks")).alias("common"))
+        links = links.union(self._similar(to_centre))
+        keys = cut_lineage(self._difference_keys(apart))
+        columns = ("class_id", "n", "root", "rank", "size", "weight")
+        p = self.rule.percent
+        shared = f"ceil((weight_a + weight_b - {100 + p} * centre_n) / {100 + p})"
+        similar = (f"root_a <> root_b and {self._sizes_fit('n_a', 'n_b')} and rank_a <= size_a - {shared} + 1 "
+                   f"and rank_b <= size_b - {shared} + 1")
+        for with_all in (False, True):
+            rooted = self._rooted(keys, components(links))
+            b = rooted.select("centre", "element", "centre_n", *(F.col(c).alias(f"{c}_b") for c in columns))
+            if with_all:
+                a = rooted.select("centre", "element", *(F.col(c).alias(f"{c}_a") for c in columns))
+                found = f"class_id_a < class_id_b and {similar}"
+            else:
+                a = rooted.groupBy("centre", "element").agg(F.min(F.struct("weight", *(c for c in columns if c != "weight")))
+                                                            .alias("one")).select(
+                    "centre", "element", *(F.col(f"one.{c}").alias(f"{c}_a") for c in columns))
+                found = similar
+            pairs = a.join(b, (a.centre == b.centre) & (a.element == b.element) & F.expr(found)) \
+                .select(a.centre, "class_id_a", "class_id_b").distinct()
+            links = cut_lineage(links.union(self._similar(self._common_by_difference(pairs, apart))))
+        return links
+
+    def _differences(self, pairs: DataFrame) -> DataFrame:
+        """``pairs`` (a: a centre, b) with how many elements of a b ``lacks``, and those ``apart``: what b
+        adds, then what it lacks, each by hash."""
+        segments = self._segments(pairs)
+        pairs = pairs.withColumn("pieces", F.expr(count_pieces("least(a_n, b_n)")))
+        of_a = segments.select(F.col("class_id").alias("a"), "pieces", "part", F.col("hashes").alias("x"))
+        of_b = segments.select(F.col("class_id").alias("b"), "pieces", "part", F.col("hashes").alias("y"))
+        keys, none = ["a", "b", "a_n", "b_n"], F.array().cast("array<long>")
+        lacking = pairs.join(of_a, ["a", "pieces"]).join(of_b, ["b", "pieces", "part"], "left").select(
+            *keys, F.array_except("x", F.coalesce("y", none)).alias("apart"), F.lit(True).alias("lacking"))
+        adding = pairs.join(of_b, ["b", "pieces"]).join(of_a, ["a", "pieces", "part"], "left").select(
+            *keys, F.array_except("y", F.coalesce("x", none)).alias("apart"), F.lit(False).alias("lacking"))
+        lists = [F.sort_array(F.flatten(F.collect_list(F.when(F.col("lacking") == x, F.col("apart")))))
+                 for x in (False, True)]
+        return cut_lineage(lacking.union(adding).groupBy(*keys).agg(
+            F.sum(F.when(F.col("lacking"), F.size("apart")).otherwise(0)).alias("lacks"),
+            F.concat(*lists).alias("apart")))
+
+    def _difference_keys(self, apart: DataFrame) -> DataFrame:
+        """The first elements of the differences, as many as needed, with their ``rank`` among them.
+
+        Two classes share at least (p * (n_a + n_b) + (100 + p) * (lacks_a + lacks_b)) / (100 + p)
+        elements less those of the centre, and one at least unless both are linked to it.  What
+        classes add is rarer than what they lack, so it comes first.
+        """
+        p = self.rule.percent
+        weighed = apart.withColumn("weight", F.expr(f"{p} * b_n + {100 + p} * lacks")).withColumn("size", F.size("apart"))
+        least = cut_lineage(weighed.groupBy("a").agg(F.min("weight").alias("least")))
+        needed = f"greatest(1, ceil((weight + least - {100 + p} * a_n) / {100 + p}))"
+        return weighed.join(least, "a").select(
+            F.col("a").alias("centre"), F.col("a_n").alias("centre_n"), F.col("b").alias("class_id"),
+            F.col("b_n").alias("n"), "weight", "size",
+            F.posexplode(F.expr(f"slice(apart, 1, cast(greatest(0, size - {needed} + 1) as int))")).alias("place", "element"),
+        ).withColumn("rank", F.col("place") + 1).drop("place")
+
+    def _rooted(self, keys: DataFrame, found: DataFrame) -> DataFrame:
+        """``keys`` with the component of each class, where those of a key differ."""
+        rooted = cut_lineage(keys.join(found.withColumnRenamed("node", "class_id"), "class_id", "left")
+                             .withColumn("root", F.coalesce("root", "class_id")))
+        several = rooted.groupBy("centre", "element").agg(F.min("root").alias("least"), F.max("root").alias("most")) \
+            .where("least < most").select("centre", "element")
+        return cut_lineage(rooted.join(several, ["centre", "element"]))
+
+    def _common_by_difference(self, pairs: DataFrame, apart: DataFrame) -> DataFrame:
+        """a, b, their sizes and ``common`` elements: those of the centre less what either lacks, plus shared ones."""
+        of_a, of_b = (apart.select(F.col("a").alias("centre"), F.col("b").alias(f"class_id_{x}"), "a_n",
+                                   F.col("b_n").alias(f"n_{x}"), F.col("lacks").alias(f"lacks_{x}"),
+                                   F.col("apart").alias(f"apart_{x}")) for x in "ab")
+        both = pairs.join(of_a, ["centre", "class_id_a"]).join(of_b.drop("a_n"), ["centre", "class_id_b"])
+        common = F.col("a_n") - F.col("lacks_a") - F.col("lacks_b") + F.size(F.array_intersect("apart_a", "apart_b"))
+        return both.select(F.col("class_id_a").alias("a"), F.col("class_id_b").alias("b"), F.col("n_a").alias("a_n"),
+                           F.col("n_b").alias("b_n"), common.alias("common")).distinct()
+
     def _share_enough(self, pairs: DataFrame, lists: DataFrame) -> DataFrame:
         """Pairs with enough common signatures.
 
@@ -245,14 +362,19 @@ class JaccardJoin:
             "*", (F.row_number().over(by) - 1).alias("known"), F.lag("signature").over(by).alias("last")))
 
     def _segments(self, pairs: DataFrame) -> DataFrame:
-        """class_id, pieces, part, hashes of the classes in ``pairs``; a repeated row repeats them."""
+        """class_id, pieces, part, hashes of the classes in ``pairs``, once each."""
         wanted = pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")).distinct()
         classes = cut_lineage(self.classes.join(wanted, "class_id", "left_semi"))
         docs = rows_of(self.docs, classes.select("first_id"))
-        return cut_lineage(
+        segments = cut_lineage(
             _segment_rows(docs.select("text"), self.rule)
             .join(checked(classes.select("d1", "d2", "class_id")), ["d1", "d2"])
             .select("class_id", "pieces", "part", "hashes"))
+        keys = ["class_id", "pieces", "part"]
+        if segments.groupBy(*keys).count().where("count > 1").isEmpty():
+            return segments
+        # Rows of a repeated or null id with the same text: each task keeps one of its own first.
+        return cut_lineage(segments.groupBy(*keys).agg(F.any_value("hashes").alias("hashes")))
 
     def _counted(self, pairs: DataFrame) -> DataFrame:
         """Partial overlaps in every fragment, summed for each pair."""
@@ -267,16 +389,10 @@ class JaccardJoin:
             .groupBy("a", "b", "a_n", "b_n").agg(F.sum("partial").alias("common"))
         )
 
-    def _rest(self, shared: DataFrame, found: DataFrame, all_links: bool) -> DataFrame:
+    def _rest(self, member: DataFrame, all_links: bool) -> DataFrame:
         """Pairs that share a signature, can be similar and are in different components."""
-        member = shared.join(found.withColumnRenamed("node", "class_id"), "class_id", "left") \
-            .withColumn("root", F.coalesce("root", "class_id"))
-        if not all_links:
-            roots = member.groupBy("signature").agg(F.min("root").alias("least"), F.max("root").alias("most"))
-            member = member.join(roots.where("least < most"), "signature")
-        member = cut_lineage(member.select("signature", "class_id", "n", "root", "place", "known", "last"))
-        a = member.select("signature", *(F.col(c).alias(f"{c}_a") for c in member.columns[1:]))
-        b = member.select("signature", *(F.col(c).alias(f"{c}_b") for c in member.columns[1:]))
+        columns = ("class_id", "n", "root", "place", "known", "last")
+        a, b = (member.select("signature", *(F.col(c).alias(f"{c}_{x}") for c in columns)) for x in "ab")
         # Common elements: before this one only known ones, this one, after it what both have.
         most = "least(known_a, known_b) + 1 + least(n_a - place_a, n_b - place_b) - 1"
         p = self.rule.percent
@@ -315,8 +431,9 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     a document for each of its texts, and what is equal in both keeps the smallest row.
     Texts without words are in no component, so all of them stay.
     """
-    own = docs.withColumn("row_key", content_key())
-    join = JaccardJoin(own.select("doc_id", "text", "row_key.k1", "row_key.k2"), Rule(words, percent),
+    name = f"row_key_{uuid.uuid4().hex}"  # no column of the documents has it
+    own = docs.withColumn(name, content_key())
+    join = JaccardJoin(own.select("doc_id", "text", f"{name}.k1", f"{name}.k2"), Rule(words, percent),
                        carried=("k1", "k2"))
     least = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "k1", "k2")).alias("least")
     classes = join.classes.select("d1", "d2", "class_id").join(
@@ -328,14 +445,17 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
         {"k1": "first_k1", "k2": "first_k2"}))
     rows = join.rows.where("n > 0").select("d1", "d2", "k1", "k2").join(named, ["d1", "d2"])
     is_first = F.expr("k1 = first_k1 and k2 = first_k2")
-    key = F.struct("k1", "k2").alias("row_key")
+    key = F.struct("k1", "k2").alias(name)
     others = rows.where(~is_first).select(key)
     repeated = rows.where(is_first).groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("times")) \
         .where("times > 1").select(key)
     # Of repeated rows the smallest is an aggregate, so that no task gets all of them.
     repeated = cut_lineage(repeated)
-    stays = rows_of(own, others.union(repeated), "row_key", "left_anti").select(*docs.columns)
-    once = rows_of(own, repeated, "row_key").groupBy("row_key").agg(F.min(F.struct(*docs.columns)).alias("row"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    stays = rows_of(own, others.union(repeated), name, "left_anti").select(*columns)
+    ordered = [F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    least = F.min_by(F.struct(*columns), F.struct(*ordered)).alias("row")
+    once = rows_of(own, repeated, name).groupBy(name).agg(least)
     return stays.union(once.select("row.*"))
 
 

@@ -11,11 +11,12 @@ from pathlib import Path
 
 import oracle_check
 import pytest
+from pyspark.sql import functions as F
 
 from carelens.llm import fingerprints, languages, quality, queries, sharding, substring_dedup, toxicity
 from carelens.llm import token_counts as tc
 from carelens.llm.decontaminate import PositionalIndex, contamination
-from carelens.llm.jaccard_join import JaccardJoin, Rule, near_duplicates
+from carelens.llm.jaccard_join import JaccardJoin, Rule, near_duplicates, one_of_each
 from carelens.llm.mixing import mix, repetition_rates
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -118,6 +119,65 @@ def test_every_link_is_found_when_asked_for(spark):
     assert join.links.count() == links
 
 
+def one_word_changed(copies, changes, seed):
+    rng = random.Random(seed)
+    base = [f"t{k}" for k in range(60)]
+    rows = []
+    for k in range(copies):
+        words = base[:]
+        for at in rng.sample(range(60), changes):
+            words[at] = f"x{k}_{at}"
+        rows.append((k + 10, " ".join(words), "en", "s"))
+    return rows
+
+
+@pytest.mark.parametrize("changes", [1, 2])
+@pytest.mark.parametrize("rule", [(5, 80), (3, 90)])
+def test_near_copies_that_do_not_all_link(spark, rule, changes):
+    rows = one_word_changed(150, changes, 4) + edited_copies(5) + one_word_changed(70, 1, 6)[:60] * 2
+    found = near_duplicates(made(spark, rows).repartition(3), *rule).collect()
+    assert Counter(map(tuple, found)) == groups_by_force(rows, *rule)
+
+
+@pytest.mark.parametrize("seed", [7, 8])
+def test_crowds_of_any_size_equal_brute_force(spark, seed, monkeypatch):
+    monkeypatch.setattr("carelens.llm.jaccard_join.CROWD", 2)
+    rows = edited_copies(seed) + odd_rows() + one_word_changed(40, 1, seed) + one_word_changed(30, 3, seed)
+    for rule in ((3, 90), (5, 80), (2, 50), (1, 100)):
+        found = near_duplicates(made(spark, rows), *rule).collect()
+        assert Counter(map(tuple, found)) == groups_by_force(rows, *rule)
+
+
+def test_pairs_grow_with_the_group_not_its_square(spark, monkeypatch):
+    seen = []
+    for name in ("_counted", "_common_by_difference"):
+        plain = getattr(JaccardJoin, name)
+        monkeypatch.setattr(JaccardJoin, name, lambda self, pairs, *rest, plain=plain: (
+            seen.append(pairs.count()), plain(self, pairs, *rest))[1])
+    asked = []
+    for copies in (200, 800):
+        seen.clear()
+        near_duplicates(made(spark, one_word_changed(copies, 1, 3)), 5, 80).count()
+        asked.append(sum(seen))
+    assert asked[1] < 6 * asked[0] < 6 * 200 * 20
+
+
+def test_segments_of_repeated_rows_stand_once(spark):
+    rows = [(None, "a b c d e f g h i j k l", "", "")] * 50 + [(None, "a b c d e f g h i j k l m", "", "")] * 50
+    join = JaccardJoin(made(spark, rows), Rule(3, 80))
+    pairs = join.classes.select(F.min("class_id").alias("a"), F.max("class_id").alias("b"))
+    assert join._segments(pairs).count() == 2
+
+
+def test_one_of_each_keeps_clashing_and_unorderable_columns(spark):
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (3, "other words here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({
+        "row_key": F.lit("mine"), "a b.c": F.lit(1), "held": F.create_map(F.lit("k"), F.col("doc_id"))})
+    found = one_of_each(docs)
+    assert found.columns == docs.columns
+    assert sorted((r.doc_id, r.row_key, r.held["k"]) for r in found.collect()) == [(1, "mine", 1), (3, "mine", 3)]
+
+
 def test_long_sets_are_counted_in_several_fragments(spark):
     words = [f"w{k}" for k in range(9000)]
     rows = [(1, " ".join(words), "", ""), (2, " ".join(words[:8800]), "", ""), (3, " ".join(words[:4000]), "", "")]
