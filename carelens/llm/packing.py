@@ -306,9 +306,10 @@ class Packing:
     def places(self) -> DataFrame:
         """The pieces with sequence_id and offset."""
         before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        # Both sides grow with the documents, so neither is sent everywhere, however small its file.
         offsets = self.counts.select(F.col("part").alias("of_part"), F.col("length").alias("of_length"),
                                      F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-        ranked = self.pieces.join(offsets, (F.col("part") == F.col("of_part")) & (F.col("length") == F.col("of_length"))) \
+        ranked = self.pieces.join(offsets.hint("merge"), (F.col("part") == F.col("of_part")) & (F.col("length") == F.col("of_length"))) \
             .withColumn("rank", F.col("before") + F.col("place"))
         plan = self.plan
         kept = [c for c in self.pieces.columns if c not in ("part", "place")]
