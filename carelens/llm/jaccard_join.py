@@ -49,8 +49,9 @@ SEGMENT_ROWS = 2048
 #: Documents that common shingles are learned from: at least, and as a share of all; how often
 #: a common one stands there, and how many are held (8 bytes each in a task).
 SAMPLE_ROWS, SAMPLE_SHARE, COMMON_TIMES, COMMON = 20_000, 0.02, 3, 400_000
-#: Classes of one signature that are compared with each other; more meet in their differences.
-CROWD = 48
+#: Classes of one signature that are compared with each other; more meet in their differences, which
+#: costs all their elements once, so it is worth it only there.  The result is the same either way.
+CROWD = 512
 
 
 @dataclass(frozen=True)

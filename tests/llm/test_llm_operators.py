@@ -133,7 +133,8 @@ def one_word_changed(copies, changes, seed):
 
 @pytest.mark.parametrize("changes", [1, 2])
 @pytest.mark.parametrize("rule", [(5, 80), (3, 90)])
-def test_near_copies_that_do_not_all_link(spark, rule, changes):
+def test_near_copies_that_do_not_all_link(spark, rule, changes, monkeypatch):
+    monkeypatch.setattr("carelens.llm.jaccard_join.CROWD", 48)
     rows = one_word_changed(150, changes, 4) + edited_copies(5) + one_word_changed(70, 1, 6)[:60] * 2
     found = near_duplicates(made(spark, rows).repartition(3), *rule).collect()
     assert Counter(map(tuple, found)) == groups_by_force(rows, *rule)
@@ -149,6 +150,8 @@ def test_crowds_of_any_size_equal_brute_force(spark, seed, monkeypatch):
 
 
 def test_pairs_grow_with_the_group_not_its_square(spark, monkeypatch):
+    """Where the groups are crowds; smaller ones are compared pair by pair."""
+    monkeypatch.setattr("carelens.llm.jaccard_join.CROWD", 48)
     seen = []
     for name in ("_counted", "_common_by_difference"):
         plain = getattr(JaccardJoin, name)
