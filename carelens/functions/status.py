@@ -34,6 +34,7 @@ def current_status(reason: Column | str, pickup: Column | str,
 
 def appointment_status(next_day: Column | str, now: Column | dt.date | str) -> Column:
     left = F.datediff(column(next_day), day(now))
+    # The appointment statuses.
     return (
         F.when(left.between(1, WITH_DRUGS_DAYS), "Active With Drugs")
         .when(left == 0, "Today Visit")
@@ -52,6 +53,7 @@ def iit_chance(iit: Column | str, at: Column | dt.date | str,
 
 def vl_indication(date: Column | str, value: Column | str) -> Column:
     v = column(value)
+    # The indications.
     return F.when(
         column(date).isNotNull(),
         F.when(v <= SUPPRESSED_VIRAL_LOAD, "Routine - Routine")
