@@ -10,6 +10,7 @@ the words of the benchmark, block by block, reach the driver.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -276,6 +277,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
 
 def uncontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without the rows that ``contamination`` finds, each decided by its own text."""
-    own = docs.withColumn("row_key", content_key())
-    found = PositionalIndex(own, benchmark, window, carried=("row_key",)).report().where(CONTAMINATED)
-    return rows_of(own, found.select("row_key"), "row_key", "left_anti").select(*docs.columns)
+    name = f"row_key_{uuid.uuid4().hex}"  # no column of the documents has it
+    own = docs.withColumn(name, content_key())
+    found = PositionalIndex(own.select("doc_id", "text", name), benchmark, window, carried=(name,)).report() \
+        .where(CONTAMINATED)
+    return rows_of(own, found.select(name), name, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
