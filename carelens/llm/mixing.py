@@ -8,13 +8,18 @@ by it, and all copies are shuffled globally by another hash.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carelens.session import cut_lineage
 
-#: Sources whose tables of the law are broadcast; with more, documents are joined with them.
-BROADCAST_SOURCES = 2_000
+#: Entries of all sources' laws that are broadcast, 16 MB; with more, documents are joined with them.
+BROADCAST_NUMBERS = 2_000_000
+#: Copies that are exploded from one array.
+BLOCK = 4096
+#: Logarithm of the Poisson law for k > 20, by the series for log k!, without differences of large numbers.
+LOG_MASS = ("k - rate - k * log1p((k - rate) / rate) - 0.5 * ln(2 * pi() * k)"
+            " - 1 / (12 * k) + 1 / (360 * pow(k, 3)) - 1 / (1260 * pow(k, 5)) + 1 / (1680 * pow(k, 7))")
 SEED = "mix-1"
 
 
@@ -50,39 +55,54 @@ def repetition_rates(docs: DataFrame, weights: DataFrame, epochs: float = 1.0) -
 
 
 def poisson_law(rates: DataFrame) -> DataFrame:
-    """source, rate and ``upto``: P(copies <= k) for k from 0 until it is 1 in doubles."""
-    k = F.explode(F.sequence(F.lit(0), F.ceil(F.col("rate") + 12 * F.sqrt("rate") + 60).cast("int")))
-    terms = rates.select("source", "rate", k.alias("k"))
-    log_factorial = F.expr("aggregate(sequence(1, greatest(k, 1)), 0.0D, (a, i) -> a + ln(i))")
-    mass = F.when(F.col("rate") > 0, F.exp(F.col("k") * F.log("rate") - F.col("rate") - log_factorial)) \
-        .otherwise(F.when(F.col("k") == 0, 1.0).otherwise(0.0))
-    listed = terms.withColumn("mass", mass).groupBy("source", "rate").agg(
-        F.array_sort(F.collect_list(F.struct("k", "mass"))).alias("terms"))
-    return listed.select("source", "rate", F.expr(
-        "transform(terms, t -> aggregate(slice(terms, 1, t.k + 1), 0.0D, (a, x) -> a + x.mass))").alias("upto"))
+    """source, ``first`` and ``upto`` of every source with a rate: P(copies <= first + i) for i from 0.
+
+    The law is summed from 12 standard deviations (and 60) below the rate, where less than 1e-30
+    lies beneath, to as many above it, where it is 1 in doubles: a number of entries that grows
+    with the root of the rate, one running sum for each source.
+    """
+    spread = 12 * F.sqrt("rate") + 60
+    k = F.explode(F.sequence(F.greatest(F.lit(0), F.floor(F.col("rate") - spread)).cast("long"),
+                             F.ceil(F.col("rate") + spread).cast("long")))
+    terms = rates.where("rate > 0").select("source", "rate", k.alias("k"))
+    mass = F.when(F.col("k") <= 20, F.exp(F.col("k") * F.log("rate") - F.col("rate")) / F.factorial(
+        F.least("k", F.lit(20)).cast("int"))).otherwise(F.exp(F.expr(LOG_MASS)))
+    summed = F.sum(mass).over(Window.partitionBy("source").orderBy("k"))
+    return terms.select("source", "k", summed.alias("upto")).groupBy("source").agg(
+        F.min("k").alias("first"), F.array_sort(F.collect_list(F.struct("k", "upto"))).alias("terms")
+    ).select("source", "first", F.col("terms.upto").alias("upto"))
 
 
 def mix(docs: DataFrame, weights: DataFrame, epochs: float = 1.0, seed: str = SEED) -> DataFrame:
-    """``docs`` with each row as often as drawn, ``copy`` (from 1) and ``mix_key``, shuffled.
+    """``docs`` with each row as often as drawn, ``copy`` (long, from 1) and ``mix_key``, shuffled.
 
     Copies depend on the seed, doc_id and source's rate alone; rows of one doc_id draw the same.
-    A null source is a source, a null doc_id an id.  Rows lie in partitions by the hash of
-    mix_key and sorted by it in each.  Columns named copy or mix_key are replaced.  An empty
-    input, or weights without any of its sources, give no rows.
+    Rows without id draw by their text, so different ones draw apart.  A null source is a
+    source.  Rows lie in partitions by the hash of mix_key and text, so different texts of one id
+    are spread, and sorted by mix_key in each; rows equal in id and text lie together.  Columns named
+    copy or mix_key are replaced.  Documents that draw no copy, those of sources without weight
+    and of sources without bytes are left out.  An empty input, or weights without any of its
+    sources, give no rows.
     """
     kept = [c for c in docs.columns if c not in ("copy", "mix_key")]
-    law = poisson_law(repetition_rates(docs, weights, epochs)).withColumnRenamed("source", "drawn_from")
-    if law.count() <= BROADCAST_SOURCES:
+    law = cut_lineage(poisson_law(repetition_rates(docs, weights, epochs)).withColumnRenamed("source", "drawn_from"))
+    if (law.agg(F.sum(F.size("upto"))).first()[0] or 0) <= BROADCAST_NUMBERS:
         law = F.broadcast(law)
-    rows = docs.select(F.struct(*kept).alias("row"), F.col("source").alias("own_source"),
-                       unit(F.lit(seed), "doc_id").alias("u"))
+    identity = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null "), F.xxhash64("text").cast("string")))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("row"), F.col("source").alias("own_source"),
+                       identity.alias("identity"), F.xxhash64("text").alias("text_hash"),
+                       unit(F.lit(seed), identity).alias("u"))
     drawn = rows.join(law, F.col("own_source").eqNullSafe(F.col("drawn_from"))).withColumn(
-        "copies", F.size(F.filter("upto", lambda p: p <= F.col("u"))))
-    copies = drawn.where("copies > 0").select(
-        "row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
-    keyed = copies.select("row.*", "copy").withColumn(
-        "mix_key", _bits(F.lit(seed + "/order"), "doc_id", "copy"))
-    return keyed.repartition("mix_key").sortWithinPartitions("mix_key")
+        "copies", F.col("first") + F.size(F.filter("upto", lambda p: p <= F.col("u"))))
+    # In blocks, since an array has no more than 2^31 entries.
+    blocks = drawn.where("copies > 0").select(
+        "row", "identity", "text_hash", "copies",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / BLOCK))).alias("block"))
+    copies = blocks.select("row", "identity", "text_hash", F.explode(F.sequence(
+        F.col("block") * BLOCK + 1, F.least(F.col("copies"), (F.col("block") + 1) * BLOCK))).alias("copy"))
+    keyed = copies.withColumn("mix_key", _bits(F.lit(seed + "/order"), "identity", "copy"))
+    return keyed.repartition("mix_key", "text_hash").sortWithinPartitions("mix_key", "text_hash").select(
+        "row.*", "copy", "mix_key")
 
 
 def equal_weights(docs: DataFrame) -> DataFrame:
