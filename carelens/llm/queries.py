@@ -17,6 +17,7 @@ from carelens.llm import token_counts as tc
 from carelens.llm.decontaminate import contamination
 from carelens.llm.fingerprints import compare_with_next
 from carelens.llm.jaccard_join import near_duplicates
+from carelens.llm.joins import rows_of
 from carelens.llm.lexical_search import LexicalSearch
 from carelens.llm.mixing import equal_weights, mix
 from carelens.llm.packing import Limits, Packing
@@ -81,17 +82,16 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     and the first batch is sent once more, which changes nothing."""
     docs, labels = (read(tune(spark), sf_dir, t) for t in ("documents", "labels"))
     counters = {"words-1": tc.pattern_counter(WORDS), "pieces-2": tc.pattern_counter(PIECES)}
-    plain = docs.withColumn("text", F.regexp_replace("text", NOISE, ""))
-    counted = cut_lineage(
-        tc.count_documents(docs, counters).withColumn("revised", F.lit(False))
-        .union(tc.count_documents(plain, counters).withColumn("revised", F.lit(True))))
-    old, new = (counted.where(F.col("revised") == r) for r in (False, True))
     toxic = labels.where("toxic = 1").select("doc_id").distinct()
-    poor = labels.where("quality = 0").select("doc_id").distinct().join(toxic, "doc_id", "left_anti")
+    poor = cut_lineage(labels.where("quality = 0").select("doc_id").distinct().join(toxic, "doc_id", "left_anti"))
     of = lambda rows, ids: rows.join(ids, "doc_id", "left_semi")
+    old = cut_lineage(tc.count_documents(docs, counters))
+    # Only what is revised is read and counted a second time.
+    plain = rows_of(docs, poor.where("doc_id is not null")).withColumn("text", F.regexp_replace("text", NOISE, ""))
+    new = tc.count_documents(plain, counters)
     rollup = tc.Rollup(spark, f"{shared_folder(spark)}/carelens-rollup-{uuid.uuid4().hex}")
     batches = {"load": tc.inserts(old), "takedown": tc.deletes(of(old, toxic)),
-               "recount": tc.revisions(of(old, poor), of(new, poor))}
+               "recount": tc.revisions(of(old, poor), new)}
     for name, changes in [*batches.items(), ("load", batches["load"])]:
         rollup.commit(name, changes)
     return rollup.totals(list(batches))
@@ -120,7 +120,7 @@ from counted group by source, lang, tokenizer
 def op5_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mixture as large as the corpus in which every source has the same share of bytes."""
     docs = read(tune(spark), sf_dir, "documents")
-    return mix(docs, equal_weights(docs))
+    return mix(docs, equal_weights(docs)).withColumn("copy", F.col("copy").cast("int"))
 
 
 def _bits_sql(*parts: str) -> str:
