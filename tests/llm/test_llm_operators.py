@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import random
 import re
 from collections import Counter
@@ -15,9 +16,9 @@ from pyspark.sql import functions as F
 
 from carelens.llm import fingerprints, languages, quality, queries, sharding, substring_dedup, toxicity
 from carelens.llm import token_counts as tc
-from carelens.llm.decontaminate import PositionalIndex, contamination
+from carelens.llm.decontaminate import PositionalIndex, contamination, uncontaminated
 from carelens.llm.jaccard_join import JaccardJoin, Rule, near_duplicates, one_of_each
-from carelens.llm.mixing import mix, repetition_rates
+from carelens.llm.mixing import equal_weights, mix, poisson_law, repetition_rates
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -305,6 +306,36 @@ def test_copies_follow_the_target_weights(spark):
     assert Counter(map(tuple, mixed.collect())) == Counter(map(tuple, mix(docs, weights).collect()))
 
 
+@pytest.mark.parametrize("rate", [0.3, 15.0, 25.0, 4_000.0, 500_000.0])
+def test_the_poisson_law_is_that_of_the_rate(spark, rate):
+    row = poisson_law(spark.createDataFrame([("a", rate)], "source string, rate double")).first()
+    total = 0.0
+    for k, upto in enumerate(row.upto, row["first"]):
+        total += math.exp(k * math.log(rate) - rate - math.lgamma(k + 1))
+        assert upto == pytest.approx(total, abs=1e-7)
+    assert row.upto[-1] == pytest.approx(1, abs=1e-9) and len(row.upto) < 24 * math.sqrt(rate) + 130
+
+
+def test_a_small_source_is_repeated_very_often(spark):
+    docs = made(spark, [(1, "x", "en", "small"), *((k, "y" * 50_000, "en", "big") for k in range(2, 6))])
+    got = Counter(r.doc_id for r in mix(docs, equal_weights(docs)).select("doc_id").collect())
+    assert got[1] == pytest.approx(100_000, abs=6 * 317)
+
+
+def test_rows_without_id_draw_apart_and_rows_of_one_id_are_spread(spark):
+    docs = made(spark, [(None if k % 2 else 7, f"text {k}", "en", "a") for k in range(4_000)])
+    mixed = mix(docs, equal_weights(docs)).cache()
+    nameless = mixed.where("doc_id is null")
+    assert nameless.select("mix_key").distinct().count() == nameless.count() == pytest.approx(2_000, abs=250)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = mix(docs, equal_weights(docs)).where("doc_id = 7").groupBy(F.spark_partition_id()).count().collect()
+        assert not parts or len(parts) == 2 and min(p["count"] for p in parts) > 0.4 * sum(p["count"] for p in parts)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert Counter(map(tuple, mixed.collect())) == Counter(map(tuple, mix(docs, equal_weights(docs)).collect()))
+
+
 def test_mixing_odd_rows(spark, clashing, empty):
     weights = spark.createDataFrame([("a", 1.0), ("b", 1.0), ("zz", 5.0)], "source string, weight double")
     mixed = mix(clashing, weights)
@@ -453,6 +484,15 @@ def test_contamination_equals_brute_force(spark, odd):
                        if r.doc_id is not None) == Counter({k: v for k, v in expected.items() if k[0] is not None})
 
 
+def test_clashing_columns_stay_as_they_are(spark):
+    text = " ".join(f"w{k}" for k in range(20))
+    docs = made(spark, [(1, text, "en", "a"), (2, "clean words", "en", "a")]).withColumns(
+        {"row_key": F.lit("own"), "digest": F.lit(5), "a.b": F.lit("dot"), "tags": F.create_map(F.lit("x"), F.lit(1))})
+    items = spark.createDataFrame([("i", text)], "item_id string, text string")
+    (row,) = uncontaminated(docs, items).collect()
+    assert (row.doc_id, row.row_key, row.digest, row["a.b"], row.tags) == (2, "own", 5, "dot", {"x": 1})
+
+
 def test_items_without_id_contaminate(spark):
     docs = made(spark, [(1, "one two three", "", ""), (None, "one two", "", ""), (2, "three", "", ""), (3, None, "", "")])
     items = spark.createDataFrame([(None, "one two"), (5, "three"), (None, None)], "item_id long, text string")
