@@ -22,9 +22,12 @@ from carelens.llm import kernels as K
 
 #: n-grams are hashed to so many buckets; a language is a double for each, 256 KB.
 BUCKETS = 1 << 15
-#: Languages in one document that are tried; those beyond have the smallest proportions.
-MOST = 4
-ROUNDS = 10
+#: Rounds after which proportions stand as they are, should their bound not have closed in by then.
+ROUNDS = 5_000
+#: Rounds from one look at the bound to the next.
+CHECK = 5
+#: Log likelihood that proportions may lack of the largest.
+TOLERANCE = 0.1
 #: Rows whose n-grams are counted in one table of BUCKETS numbers each.
 DENSE_ROWS = 64
 #: Likelihood that another language has to add, in units of log(n-grams) / 2.
@@ -135,8 +138,11 @@ class LanguageModel:
               penalty: float = PENALTY) -> np.ndarray:
         """Proportions of the languages (columns) in each row; all 0 without n-grams.
 
-        ``row`` is sorted.  All languages together are at least as likely as any set of them,
-        so rows where that gains no penalty's worth over the best one alone are settled.
+        ``row`` is sorted.  No set of languages is likelier than all of them together, and what
+        all reach has an upper bound at any proportions (``_Sample.bound``): sets are tried, the
+        largest proportions first, for as long as that bound less the penalties is above the best.
+        The best then changes by one language more, less or another while that is better, so the
+        result is the best set but for sets that differ from it in several languages at once.
         """
         best = np.zeros((n, len(self.names)))
         size = np.bincount(row, count, minlength=n)
@@ -151,22 +157,29 @@ class LanguageModel:
         share = np.zeros_like(single)
         share[np.arange(len(here)), top] = 1.0
         cost = penalty * np.log(np.maximum(data.size, 2)) / 2
-        every, found = data.maximise(np.ones_like(single))
+        alone = data.bound(value, data.slopes(share)[0], np.ones_like(share))
+        open_ = tried = np.flatnonzero(alone - cost > value)
+        every, likely, most = data.part(open_).maximise(np.ones((len(open_), len(self.names))), (value + cost)[open_])
         order = np.argsort(-every, axis=1, kind="stable")
-        open_ = np.flatnonzero(found - cost > value)
-        for k in range(2, min(MOST, len(self.names)) + 1):
+        for k in range(2, len(self.names) + 1):
+            some = np.flatnonzero(most - (k - 1) * cost[open_] > value[open_])
+            open_, every, likely, most, order = open_[some], every[some], likely[some], most[some], order[some]
             if not len(open_):
                 break
-            allowed = np.zeros((len(open_), len(self.names)))
-            np.put_along_axis(allowed, order[open_, :k], 1.0, axis=1)
+            paid = (k - 1) * cost[open_]
             if k == len(self.names):
-                some, likely = every[open_], found[open_]
+                found, reached = every, likely
             else:
-                some, likely = data.part(open_).maximise(allowed)
-            likely = likely - (k - 1) * cost[open_]
-            better = likely > value[open_]
-            at = open_[better]
-            share[at], value[at] = some[better], likely[better]
+                allowed = np.zeros((len(open_), len(self.names)))
+                np.put_along_axis(allowed, order[:, :k], 1.0, axis=1)
+                found, reached, _ = data.part(open_).maximise(allowed, value[open_] + paid)
+            better = reached - paid > value[open_]
+            share[open_[better]], value[open_[better]] = found[better], (reached - paid)[better]
+        while len(tried):
+            found, reached = data.part(tried).neighbours(share[tried], value[tried], cost[tried])
+            better = reached > value[tried] + TOLERANCE
+            tried = tried[better]
+            share[tried], value[tried] = found[better], reached[better]
         best[here] = share
         return best
 
@@ -188,17 +201,74 @@ class _Sample:
         begin = np.concatenate(([0], np.cumsum(self.length[rows])))
         return _Sample(begin, self.likely[:, each], self.count[each], self.size[rows])
 
-    def maximise(self, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Proportions and log likelihood after ROUNDS of expectation-maximisation."""
+    def slopes(self, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """By row and language, the factor by which a round changes each proportion, and each n-gram's likelihood."""
+        total = np.zeros(len(self.count))
+        for j, p in enumerate(self.likely):
+            total += np.repeat(share[:, j], self.length) * p
+        weight = self.count / total
+        return np.stack([self.sums(p * weight) for p in self.likely], axis=1) / self.size[:, None], total
+
+    def bound(self, likely: np.ndarray, slopes: np.ndarray, allowed: np.ndarray) -> np.ndarray:
+        """What no proportions of the allowed languages exceed, from the log likelihood at some of them.
+
+        By Jensen's inequality the gain to proportions w is at most n-grams * log(sum of w * slopes).
+        """
+        return likely + self.size * np.log(np.maximum((slopes * allowed).max(axis=1), 1.0))
+
+    def neighbours(self, share: np.ndarray, value: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The best of the sets that differ from those of ``share`` in one language: proportions, penalised likelihood.
+
+        Only a language whose slope is above 1 can come in, as the bound of the set with it shows.
+        """
+        has = share > 0
+        many = has.sum(axis=1)
+        gain = self.size[:, None] * np.log(np.maximum(self.slopes(share)[0], 1.0))
+        best, found = value.copy(), share.copy()
+
+        def attempt(rows: np.ndarray, out: int | None, into: int | None) -> None:
+            allowed = has[rows].astype(float)
+            if out is not None:
+                allowed[:, out] = 0
+            if into is not None:
+                allowed[:, into] = 1
+            paid = (allowed.sum(axis=1) - 1) * cost[rows]
+            new, likely, _ = self.part(rows).maximise(allowed, best[rows] + paid)
+            better = likely - paid > best[rows]
+            at = rows[better]
+            best[at], found[at] = (likely - paid)[better], new[better]
+
+        several = has & (many > 1)[:, None]
+        for out in np.flatnonzero(several.any(axis=0)):
+            attempt(np.flatnonzero(several[:, out]), out, None)
+        for into in np.flatnonzero(((gain > TOLERANCE) & ~has).any(axis=0)):
+            comes = (gain[:, into] > TOLERANCE) & ~has[:, into]
+            rows = np.flatnonzero(comes & (gain[:, into] > cost))
+            if len(rows):
+                attempt(rows, None, into)
+            for out in np.flatnonzero((several & comes[:, None]).any(axis=0)):
+                attempt(np.flatnonzero(several[:, out] & comes), out, into)
+        return found, best
+
+    def maximise(self, allowed: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Proportions of the allowed languages, log likelihood and its bound, by expectation-maximisation.
+
+        A row is done when the bound is within TOLERANCE of what is reached, or not above ``least``.
+        """
         share = allowed / allowed.sum(axis=1, keepdims=True)
-        for k in range(ROUNDS + 1):
-            parts = [np.repeat(share[:, j], self.length) * p for j, p in enumerate(self.likely)]
-            total = np.sum(parts, axis=0)
-            if k == ROUNDS:
-                return share, self.sums(self.count * np.log(total))
-            weight = self.count / total
-            share = np.stack([self.sums(p * weight) for p in parts], axis=1) / self.size[:, None]
-        raise AssertionError
+        likely, most = np.full(len(share), -np.inf), np.full(len(share), np.inf)
+        rows, data = np.arange(len(share)), self
+        for k in range(ROUNDS):
+            if not len(rows):
+                break
+            slopes, total = data.slopes(share[rows])
+            if (k + 1) % CHECK == 0 or k == ROUNDS - 1:
+                likely[rows] = data.sums(data.count * np.log(total))
+                most[rows] = data.bound(likely[rows], slopes, allowed[rows])
+                going = np.flatnonzero((most[rows] > least[rows]) & (most[rows] - likely[rows] > TOLERANCE))
+                data, rows, slopes = data.part(going), rows[going], slopes[going]
+            share[rows] *= slopes
+        return share, likely, most
 
 
 def fit(counts: DataFrame, smoothing: float = 0.5) -> LanguageModel:
