@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import math
 import random
 import re
 from collections import Counter
 from pathlib import Path
 
+import numpy as np
 import oracle_check
 import pytest
 from pyspark.sql import functions as F
@@ -255,6 +257,54 @@ def test_a_mixture_shows_both_languages(spark):
     assert found[3]["x"] == pytest.approx(0.7, abs=0.05) and set(found[4]) == {"x"}
 
 
+def best_set(likely, count, penalty):
+    """The best penalised likelihood over every set of languages, and its proportions."""
+    best, many = (-np.inf, None), likely.shape[1]
+    cost = penalty * np.log(max(count.sum(), 2)) / 2
+    for size in range(1, many + 1):
+        for chosen in itertools.combinations(range(many), size):
+            own, share = likely[:, chosen], np.full(size, 1 / size)
+            for _ in range(400 if size > 1 else 0):
+                share = share * ((own / (own @ share)[:, None]) * count[:, None]).sum(axis=0) / count.sum()
+            value = (count * np.log(own @ share)).sum() - (size - 1) * cost
+            if value > best[0]:
+                whole = np.zeros(many)
+                whole[list(chosen)] = share
+                best = value, whole
+    return best
+
+
+@pytest.mark.parametrize("many", range(2, 7))
+def test_the_set_of_languages_is_the_best_of_all(many):
+    """Related languages, mixtures of one to all of them, a second one at 5 %."""
+    rng = np.random.default_rng(many)
+    buckets = 300
+    common = rng.dirichlet(np.ones(buckets))
+    likely = np.stack([0.5 * common + 0.5 * rng.dirichlet(np.full(buckets, 0.3)) for _ in range(many)], axis=1)
+    mixtures = [np.eye(many)[0], 0.95 * np.eye(many)[0] + 0.05 * np.eye(many)[1], np.full(many, 1 / many),
+                *rng.dirichlet(np.full(many, 0.4), 4)]
+    counts = [rng.multinomial(n, likely @ m) for m in mixtures for n in (1, 60, 1_500)]
+    row, bucket = np.nonzero(np.array(counts))
+    model = languages.LanguageModel([str(k) for k in range(many)], likely)
+    found = model.infer(row, bucket, np.array(counts)[row, bucket], len(counts))
+    for share, count in zip(found, counts, strict=True):
+        at = np.flatnonzero(count)
+        value, whole = best_set(likely[at], count[at], languages.PENALTY)
+        cost = (np.count_nonzero(share) - 1) * languages.PENALTY * np.log(max(count.sum(), 2)) / 2
+        reached = (count[at] * np.log(likely[at] @ share)).sum() - cost
+        assert share.sum() == pytest.approx(1) and reached >= value - 2 * languages.TOLERANCE
+
+
+def test_six_languages_of_one_text_are_all_in_its_mixture(spark):
+    rng = random.Random(6)
+    alphabets = [chr(97 + 4 * k) + chr(98 + 4 * k) + chr(99 + 4 * k) + chr(100 + 4 * k) for k in range(6)]
+    speak = lambda letters, n: " ".join("".join(rng.choices(letters, k=6)) for _ in range(n))
+    train = made(spark, [(k, speak(a, 400), str(k), "") for k, a in enumerate(alphabets)])
+    model = languages.fit(languages.language_counts(train))
+    (row,) = languages.identify(made(spark, [(9, " ".join(speak(a, 60) for a in alphabets), None, "")]), model).collect()
+    assert set(row.mixture) == set("012345") and all(v == pytest.approx(1 / 6, abs=0.01) for v in row.mixture.values())
+
+
 # token counts
 
 @pytest.fixture(scope="module")
