@@ -1,10 +1,13 @@
 from __future__ import annotations
 
 import pytest
-from conftest import at, day
+from conftest import Clinic, at, day
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from carelens import sources
 from carelens.plans.line_list import LINE_LIST_COLUMNS, line_list
+from carelens.plans.profile import person_profile
 from carelens.plans.report import programme_report
 
 
@@ -114,7 +117,6 @@ def test_a_second_run_of_a_date_replaces_just_that_date(spark, tmp_path):
 
 def test_a_run_that_fails_changes_nothing(spark, tmp_path):
     from pyspark.errors import PySparkException
-    from pyspark.sql import functions as F
 
     path = f"{tmp_path}/published"
     good = spark.createDataFrame([("A", "a", 1), ("B", "b", 2)], "State string, uuid string, Age int")
@@ -123,3 +125,101 @@ def test_a_run_that_fails_changes_nothing(spark, tmp_path):
     with pytest.raises(PySparkException):
         sources.publish(bad, path, "2024-06-30")
     assert sorted(r["Age"] for r in sources.read_published(spark, path).collect()) == [1, 2]
+
+
+@pytest.fixture
+def shuffled_joins(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield spark
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def planned(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def sorted_rows(df):
+    return sorted(map(repr, df.collect()))
+
+
+def test_a_clustered_store_gives_the_same_list(spark, clinic, tmp_path):
+    tables = small(clinic)
+    sources.write_clustered(tables, f"{tmp_path}/store", 4)
+    back = sources.load_clustered(spark, f"{tmp_path}/store")
+    assert set(back) == set(sources.SCHEMAS)
+    for name, df in tables.items():
+        assert back[name].dtypes == df.dtypes
+        assert sorted_rows(back[name]) == sorted_rows(df)
+    dates = ("2024-04-01", "2024-06-30", "2024-06-30")
+    assert sorted_rows(line_list(back, *dates)) == sorted_rows(line_list(tables, *dates))
+
+
+def test_person_parts_of_a_store_meet_without_a_shuffle(shuffled_joins, clinic, tmp_path):
+    tables = small(clinic)
+    sources.write_clustered(tables, f"{tmp_path}/store", 4)
+    back = sources.load_clustered(shuffled_joins, f"{tmp_path}/store")
+    on_store, plain = person_profile(back, "2024-06-30"), person_profile(tables, "2024-06-30")
+    assert sorted_rows(on_store) == sorted_rows(plain)
+    assert planned(plain).count("hashpartitioning") >= 8
+    assert "hashpartitioning" not in planned(on_store) and planned(on_store).count("SortMergeJoin") >= 8
+
+
+def test_a_store_of_facilities_is_clustered_by_both(shuffled_joins, tmp_path):
+    clinic = Clinic(shuffled_joins, "facility")
+    for facility in ("A", "B"):
+        clinic.patient(1, f"{facility}1", facility=facility)
+        clinic.obs(1, 5089, "2024-05-01", number=50.0, facility=facility)
+    tables = clinic.tables()
+    sources.write_clustered(tables, f"{tmp_path}/store", 4, site="facility")
+    back = sources.load_clustered(shuffled_joins, f"{tmp_path}/store", site="facility")
+    found = person_profile(back, "2024-06-30", "facility")
+    assert sorted((r["facility"], r["PatientHospitalNo"], r["weight"]) for r in found.collect()) == [
+        ("A", "A1", 50.0), ("B", "B1", 50.0)]
+    # Attribute types belong to a facility, not to a person: both sides of their join are shuffled,
+    # then phones by person, then to the number of buckets.  Nothing else is.
+    plain = person_profile(tables, "2024-06-30", "facility")
+    assert sorted_rows(found) == sorted_rows(plain)
+    assert planned(found).count("hashpartitioning") == 4 and planned(plain).count("hashpartitioning") >= 12
+
+
+def test_a_hot_person_is_written_by_many_tasks_and_read_in_splits(spark, clinic, tmp_path):
+    tables = small(clinic)
+    schema = tables["obs"].schema
+    empty = {f.name: F.lit(None).cast(f.dataType) for f in schema}
+    hot = spark.range(40_000).select(*[x.alias(n) for n, x in {**empty, **{
+        "obs_id": F.col("id"), "person_id": F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 7 > 0, F.col("id") % 500),
+        "concept_id": F.lit(5089), "value_numeric": F.col("id").cast("double"), "voided": F.lit(0),
+        "obs_datetime": F.lit("2024-05-01").cast("timestamp_ntz")}}.items()])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    typed = hot.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+    sources.write_clustered({**tables, "obs": typed}, f"{tmp_path}/store", 16)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    whole = sources.load_clustered(spark, f"{tmp_path}/store")
+    split = sources.load_clustered(spark, f"{tmp_path}/store", skewed_rows=1000)
+    files = spark.read.parquet(f"{tmp_path}/store/obs").filter("person_id = 7").select(F.input_file_name()).distinct()
+    assert files.count() >= 2
+    agg = lambda t: t["obs"].groupBy("person_id").agg(F.max("value_numeric").alias("v"))
+    assert "hashpartitioning" not in planned(agg(whole)) and "hashpartitioning" in planned(agg(split))
+    assert sorted_rows(agg(whole)) == sorted_rows(agg(split)) and agg(split).count() == 501
+    assert whole["obs"].count() == 40_000
+
+
+def test_part_of_a_store_is_refused(spark, clinic, tmp_path):
+    tables = small(clinic)
+    with pytest.raises(ValueError, match="obs"):
+        sources.write_clustered({k: v for k, v in tables.items() if k != "obs"}, f"{tmp_path}/none", 4)
+    tables["users"].write.parquet(f"{tmp_path}/part/users")
+    with pytest.raises(AnalysisException):
+        sources.load_clustered(spark, f"{tmp_path}/part")
+    store = sources.write_clustered(tables, f"{tmp_path}/store", 2)
+    with pytest.raises(AnalysisException):
+        sources.write_clustered(tables, f"{tmp_path}/store", 2)
+    assert spark.catalog.tableExists(f"default.carelens_{store}_obs")
+    sources.forget_clustered(spark, f"{tmp_path}/store")
+    assert not spark.catalog.tableExists(f"default.carelens_{store}_obs")
+    # Another session knows the store by its folder alone.
+    assert sources.load_clustered(spark, f"{tmp_path}/store")["obs"].count() == tables["obs"].count()
