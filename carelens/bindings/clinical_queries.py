@@ -6,9 +6,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from carelens.bindings.line_list_sql import BIOMETRICS, ENTRY, LINE_LIST, NORMALISED, NUMBERS, TRACKING
+from carelens.bindings.line_list_sql import BIOMETRICS, COLLATED, ENTRY, LINE_LIST, NORMALISED, NUMBERS, TRACKING
 from carelens.bindings.sql_tables import CLINICAL
 from carelens.bindings.tables import NOW, PICKUP_END, START, clinical_tables
+from carelens.operators.collation import DATABASE_COLLATION
 from carelens.operators.lookups import attach_demographics as demographics
 from carelens.plans import biometrics as biometric_plan
 from carelens.plans import line_list as plan
@@ -34,6 +35,19 @@ def line_list_normalised(spark, sf):
                           normalise_ids=True)
 
 
+def line_list_collated(spark, sf):
+    """Hospital numbers that differ in case, accents and trailing blanks are one."""
+    t = clinical_tables(spark, sf)
+    owner, number = F.col("patient_id"), F.col("identifier")
+    spelled = F.concat(F.when(owner % 2 == 0, "hn").otherwise("HN"),
+                       F.when(owner % 5 < 2, "\u00e9").when(owner % 5 == 2, "E").otherwise("e"), number,
+                       F.when(owner % 3 == 0, "  ").otherwise(""))
+    identifiers = t["patient_identifier"].withColumn("identifier", F.when(
+        F.col("identifier_type") == HOSPITAL_NUMBER, spelled).otherwise(number))
+    return plan.line_list({**t, "patient_identifier": identifiers}, START, PICKUP_END, NOW,
+                          collation=DATABASE_COLLATION)
+
+
 def biometric_status(spark, sf):
     return biometric_plan.biometric_status(clinical_tables(spark, sf))
 
@@ -61,7 +75,7 @@ def clustered_profile(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (
-    line_list, line_list_normalised, biometric_status, pivot_tracking, care_entry_point, attach_demographics,
+    line_list, line_list_normalised, line_list_collated, biometric_status, pivot_tracking, care_entry_point, attach_demographics,
     clustered_profile)}
 
 
@@ -80,6 +94,7 @@ def _identifier(kind: int) -> str:
 ORACLE = {
     "line_list": f"{LINE_LIST} SELECT * FROM line_list",
     "line_list_normalised": f"{NORMALISED} SELECT * FROM line_list",
+    "line_list_collated": f"{COLLATED} SELECT * FROM line_list",
     "biometric_status": f"""
 WITH {CLINICAL}, {NUMBERS}, {BIOMETRICS}
 SELECT hospital_no AS "PatientHospitalNo", uuid, unique_id AS "PatientUniqueID",

@@ -19,6 +19,7 @@ from carelens.functions import (
     format_date,
     next_visit,
 )
+from carelens.operators.collation import compared_as_stored, plain_text
 from carelens.operators.filters import as_of, live
 from carelens.operators.keys import Keys, key_list, match, match_many
 from carelens.operators.latest import at_first, at_last, preferred_names
@@ -408,14 +409,17 @@ def tracking_by_uuid(tables: Mapping[str, DataFrame], start_date: dt.date | str,
 def line_list(tables: Mapping[str, DataFrame], start_date: dt.date | str,
               end_date: dt.date | str, now_date: dt.date | str,
               site: str | None = None, normalise_ids: bool = False,
-              previous_status_date: bool = True) -> DataFrame:
+              previous_status_date: bool = True, collation: str | None = None) -> DataFrame:
     """The line list as of ``end_date``.
 
     ``start_date`` opens the tracking window, ``now_date`` is the day appointments are
     counted from.  With ``site`` all tables carry a facility column, which is part of
-    every key, and several facilities are listed at once.
+    every key, and several facilities are listed at once.  With ``collation`` hospital numbers
+    and answer names compare under it (``compared_as_stored``).
     """
     s = [site] if site else []
+    if collation:
+        tables = compared_as_stored(tables, collation, s)
     rows = hospital_rows(tables, end_date, now_date, s, normalise_ids)
     number = [*s, "PatientHospitalNo"]
     biometrics = biometric_rows(tables, s, normalise_ids)
@@ -428,4 +432,5 @@ def line_list(tables: Mapping[str, DataFrame], start_date: dt.date | str,
     rows = previous_status(rows, with_date=previous_status_date)
     if not previous_status_date:
         rows = rows.withColumn("PreviousARTStatusDate", F.lit(None).cast("timestamp_ntz"))
-    return drop_helpers(rows).select(*s, *[F.col(f"`{x}`") for x in LINE_LIST_COLUMNS])
+    listed = drop_helpers(rows).select(*s, *[F.col(f"`{x}`") for x in LINE_LIST_COLUMNS])
+    return plain_text(listed) if collation else listed
