@@ -184,26 +184,43 @@ class PositionalIndex:
         return _compare(both.select("doc_id", "digest", "words", "found"), self.window)
 
     def proximity(self, terms: int = 3, within: int = 20) -> DataFrame:
-        """doc_id, item, first, last: the item's rarest terms near each other, in any order.
-
-        ``terms`` of the indexed terms of an item, those of the fewest postings, have to stand
-        within ``within`` consecutive words, counted from each place of the rarest.
+        """doc_id, item, first, last: a window's rarest terms near each other, in any order.
+
+        Of every window of an item (of ``terms`` words at least) the ``terms`` indexed terms with the fewest postings are
+        taken (a term is counted once; all, if the window has fewer).  They match where all stand
+        less than ``within`` words from a place of the rarest; ``first`` and ``last`` are their
+        outermost places there.  With ``within`` of at least the window, a document that holds a
+        window matches its item.  A row for each such place, once for all windows that take
+        the same terms.  Places meet by blocks of ``within`` words, so a repeated word
+        meets its neighbours alone.
         """
         times = self.postings.groupBy("term").agg(F.count(F.lit(1)).alias("times"))
-        own = self.seeds.select("item_row", "term").distinct().join(times, "term")
-        rank = F.row_number().over(Window.partitionBy("item_row").orderBy("times", "term"))
-        chosen = own.withColumn("rank", rank).where(f"rank <= {terms}")
-        chosen = chosen.withColumn("all", F.max("rank").over(Window.partitionBy("item_row")))
-        placed = self.postings.join(chosen, "term").select(
-            "doc_id", "digest", "item_row", "rank", "all", "position")
-        rarest = placed.where("rank = 1").select(
-            F.col("doc_id").alias("of_doc"), "digest", "item_row", F.col("position").alias("at"))
-        near = rarest.join(placed, ["digest", "item_row"]).where(
+        lengths = self.items.select("item_row", F.size("words").alias("length"))
+        span = max(self.window, terms)
+        begins = F.explode(F.expr(
+            f"sequence(greatest(0, place - {span} + 1), least(place, greatest(0, length - {span})))"))
+        of_window = self.seeds.select("item_row", "place", "term").join(lengths, "item_row") \
+            .select("item_row", "term", begins.alias("begin")).distinct() \
+            .join(times, "term", "left").withColumn("times", F.coalesce("times", F.lit(0)))
+        # a window holds few terms: its list is as long as the window at most
+        sets = of_window.groupBy("item_row", "begin").agg(
+            F.slice(F.array_sort(F.collect_list(F.struct("times", "term"))), 1, terms).alias("ranked")) \
+            .select("item_row", F.col("ranked.term").alias("ranked")).distinct()
+        chosen = sets.select("item_row", "ranked", F.posexplode("ranked").alias("rank", "term"))
+        placed = cut_lineage(self.postings.join(chosen, "term").select(
+            "doc_id", "digest", "item_row", "ranked", "rank", "position",
+            F.floor(F.col("position") / within).alias("block")))
+        key = ["digest", "item_row", "ranked", "block"]
+        rarest = placed.where("rank = 0").select(
+            F.col("doc_id").alias("of_doc"), "digest", "item_row", "ranked", F.col("position").alias("at"),
+            F.explode(F.array(*[F.col("block") + k for k in (-1, 0, 1)])).alias("block"))
+        near = rarest.join(placed, key).where(
             F.col("of_doc").eqNullSafe(F.col("doc_id")) & F.expr(f"abs(position - at) < {within}"))
-        return near.groupBy("doc_id", "digest", "item_row", "at").agg(
-            F.countDistinct("rank").alias("met"), F.max("all").alias("all"),
+        return near.groupBy("doc_id", "digest", "item_row", "ranked", "at").agg(
+            F.countDistinct("rank").alias("met"),
             F.min("position").alias("first"), F.max("position").alias("last")) \
-            .where("met = all").join(self.items.select("item_row", "item"), "item_row") \
+            .where("met = size(ranked)").join(self.items.select("item_row", "item"), "item_row") \
+            .select("doc_id", "digest", "item", "at", "first", "last").distinct() \
             .select("doc_id", "item", "first", "last")
 
     def report(self) -> DataFrame:

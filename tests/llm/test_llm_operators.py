@@ -566,6 +566,60 @@ def test_rare_terms_near_each_other(spark):
     assert {(r.doc_id, r.item) for r in index.proximity(terms=3, within=6).collect()} == {(1, "7"), (2, "7")}
 
 
+def near_places(index, terms, within):
+    """The same by brute force over the stored postings: every window, every place of its rarest term."""
+    postings, seeds = {}, {}
+    for r in index.postings.collect():
+        postings.setdefault(r.term, set()).add((r.doc_id, r.digest, r.position))
+    for r in index.seeds.collect():
+        seeds.setdefault(r.item_row, {})[r.place] = r.term
+    found = set()
+    for item in index.items.collect():
+        span = max(index.window, terms)
+        for begin in range(max(1, len(item.words) - span + 1)):
+            own = {t for place, t in seeds[item.item_row].items() if begin <= place < begin + span}
+            ranked = sorted(own, key=lambda t: (len(postings.get(t, ())), t))[:terms]
+            for doc, digest, at in postings.get(ranked[0], ()):
+                near = [[p for d, g, p in postings.get(t, ()) if (d, g) == (doc, digest) and abs(p - at) < within]
+                        for t in ranked]
+                if all(near):
+                    places = list(itertools.chain(*near))
+                    found.add((doc, digest, item.item, at, min(places), max(places)))
+    return Counter((doc, item, first, last) for doc, _, item, _, first, last in found)
+
+
+def test_near_terms_of_long_items_equal_brute_force(spark):
+    rng = random.Random(5)
+    said = [f"w{k}" for k in range(60)]
+    long_items = [[rng.choice(said) for _ in range(n)] for n in (45, 80, 13, 4)] + [["rep"] * 30]
+    texts = [[rng.choice(said) for _ in range(rng.choice((5, 40, 300)))] for _ in range(25)]
+    texts += [item[:] for item in long_items] + [["rep"] * 200]
+    mixed = long_items[1][20:33]
+    rng.shuffle(mixed)
+    texts.append(["x"] * 30 + mixed + ["y"] * 30)
+    rows = [(k, " ".join(t), "", "") for k, t in enumerate(texts)]
+    docs = made(spark, rows + [rows[3], (None, "w1 w2", "", ""), (None, " ".join(long_items[0]), "", ""), (99, None, "", ""),
+                               (98, "", "", "")])
+    items = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(long_items)] + [(None, "w5 w6"), (77, None), (78, "!")],
+                                  "item_id long, text string")
+    index = PositionalIndex(docs, items)
+    exact = {(r.doc_id, i) for r in index.report().collect() for i in r["items"]}
+    assert len(exact) >= 6
+    for terms, within in ((2, 5), (3, 20)):
+        found = index.proximity(terms, within).collect()
+        assert Counter((r.doc_id, r.item, r["first"], r["last"]) for r in found) == near_places(index, terms, within)
+    matched = {(r.doc_id, r.item) for r in found}
+    assert exact <= matched                  # an exact window is a near match, in long items too
+    assert (len(texts) - 1, "1") in matched  # so are its words in another order
+
+
+def test_near_places_of_a_repeated_word_grow_with_the_text(spark):
+    items = spark.createDataFrame([(1, "a b " * 20)], "item_id long, text string")
+    docs = made(spark, [(1, "a b " * 500, "", ""), (2, "a b " * 1000, "", "")])
+    found = Counter(r.doc_id for r in PositionalIndex(docs, items).proximity().collect())
+    assert 0 < found[1] <= 1000 and found[1] < found[2] <= 2 * found[1] + 4
+
+
 # sharding
 
 @pytest.mark.parametrize("rows, shards", [(0, 3), (1, 16), (1000, 16), (1003, 7)])
