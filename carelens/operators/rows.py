@@ -39,9 +39,29 @@ def number_rows(df: DataFrame, order: Sequence[Column | str], out: str = "row_nu
 def drop_all_duplicates(df: DataFrame, key: Keys) -> DataFrame:
     """Only the rows whose key occurs once (missing keys are equal)."""
     keys = key_list(key)
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    single = df.groupBy(*keys).agg(F.count("*").alias("__n"), F.any_value(row).alias("__row"))
-    return single.filter(F.col("__n") == 1).select("__row.*")
+    cells = [c for c in df.columns if c not in keys]
+    row = F.struct(*[F.col(f"`{c}`") for c in cells]) if cells else F.lit(True)
+    single = df.groupBy(*[F.col(f"`{c}`") for c in keys]).agg(
+        F.count("*").alias("__n"), F.any_value(row).alias("__row"))
+    # The key itself stays: a join by it needs no further shuffle.
+    return single.filter(F.col("__n") == 1).select(*[
+        F.col(f"`{c}`") if c in keys else F.col("__row")[c].alias(c) for c in df.columns])
+
+
+def first_letters(df: DataFrame, key: str, order: Sequence[str], out: str) -> DataFrame:
+    """Key, order and suffixed key of the first 27 rows of every key (see ``suffix_duplicates``)."""
+    cells = [F.col(f"`{c}`") for c in (key, *order)]
+    by = Window.partitionBy(cells[0]).orderBy(*cells[1:])
+    ranked = df.select(*cells).withColumn("__rank", F.row_number().over(by))
+    first = ranked.filter(F.col("__rank") <= LETTERS + 1)
+    place = F.struct(*cells[1:])
+    tie = cells[0].isNotNull() & (F.col("__rank") > 1) & place.eqNullSafe(F.lag(place).over(by))
+    repeated = F.raise_error(F.lit("suffix_duplicates: order repeats within a key")).cast("int")
+    first = first.withColumn("__tie", F.when(tie, repeated).otherwise(F.col("__rank")))
+    first = first.withColumn("__n", F.count("*").over(Window.partitionBy(cells[0])))
+    letter = F.char(F.lit(64) + F.when(F.col("__tie") <= LETTERS, F.col("__rank")))
+    suffixed = F.when(F.col("__n") == 1, cells[0]).otherwise(F.concat(cells[0], F.lit("_"), letter))
+    return first.select(*cells, suffixed.alias(out))
 
 
 def suffix_duplicates(df: DataFrame, key: str, order: Sequence[str], out: str | None = None) -> DataFrame:
@@ -53,28 +73,13 @@ def suffix_duplicates(df: DataFrame, key: str, order: Sequence[str], out: str |
     ``order`` has to be unique within a key: rows that tie where letters are given fail.
     """
     names = [key, *order]
-    cells = [F.col(f"`{c}`") for c in names]
-    by = Window.partitionBy(cells[0]).orderBy(*cells[1:])
-    ranked = df.select(*cells).withColumn("__rank", F.row_number().over(by))
-    first = ranked.filter(F.col("__rank") <= LETTERS + 1)
-    place = F.struct(*cells[1:])
-    tie = cells[0].isNotNull() & (F.col("__rank") > 1) & place.eqNullSafe(F.lag(place).over(by))
-    repeated = F.raise_error(F.lit("suffix_duplicates: order repeats within a key")).cast("int")
-    first = first.withColumn("__tie", F.when(tie, repeated).otherwise(F.col("__rank")))
-    first = first.withColumn("__n", F.count("*").over(Window.partitionBy(cells[0])))
-    first = first.withColumn("__rank", F.when(F.col("__tie") <= LETTERS, F.col("__rank")))
+    first = first_letters(df, key, order, "__suffixed")
     left = df.withColumns({f"__k{i}": F.col(f"`{c}`") for i, c in enumerate(names)})
-    right = first.select("__rank", "__n", *[F.col(f"`{c}`").alias(f"__r{i}") for i, c in enumerate(names)])
+    right = first.select("__suffixed", *[F.col(f"`{c}`").alias(f"__r{i}") for i, c in enumerate(names)])
     same = F.lit(True)
     for i in range(len(names)):
         same = same & F.col(f"__k{i}").eqNullSafe(F.col(f"__r{i}"))
     joined = left.join(right, same, "left")
-    letter = F.char(F.lit(64) + F.col("__rank"))
-    suffixed = (
-        F.when(F.col(f"`{key}`").isNull(), F.lit(None))
-        .when(F.col("__n") == 1, F.col(f"`{key}`"))
-        .when(F.col("__n") > 1, F.concat(F.col(f"`{key}`"), F.lit("_"), letter))
-    )
     target = out or key
     kept = [F.col(f"`{c}`") for c in df.columns if c != target]
-    return joined.select(*kept, suffixed.alias(target))
+    return joined.select(*kept, F.col("__suffixed").alias(target))

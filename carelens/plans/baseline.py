@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelens.functions import composite_key, day, fill_where, iit_date, newest, status_not_in, strip_zeros
-from carelens.operators.lookups import lookup_baseline
-from carelens.operators.rows import drop_all_duplicates, suffix_duplicates
+from carelens.operators.keys import match
+from carelens.operators.rows import drop_all_duplicates, first_letters
 from carelens.plans.concepts import ENDED_REPORTED
 from carelens.plans.report_columns import COMPARED_WITH_BASELINE, TAKEN_FROM_BASELINE
 from carelens.plans.rules import drop_helpers
 
 KEY = "__key"
+LETTERED = "__lettered"
 SUFFIX = "_baseline"
 # Refill assumed for an earlier row that gives none.
 UNKNOWN_REFILL_DAYS = 15
@@ -45,11 +46,13 @@ def revalidate(base: DataFrame, end_date: dt.date | str) -> DataFrame:
 
 def attach_baseline(df: DataFrame, base: DataFrame, end_date: dt.date | str,
                     order: tuple[str, ...] = ("PatientHospitalNo", "uuid"),
-                    sep: str = "") -> DataFrame:
+                    sep: str = "", row: str | None = None) -> DataFrame:
     """Bring the compared and taken columns of the earlier report over.
 
     A key that occurs twice in the earlier report is left out, and one that occurs
-    twice in the list gets letters, so neither matches.
+    twice in the list gets letters, so neither matches.  Keys alone meet the earlier report;
+    what they find comes back to the list in its one shuffle, by ``row`` where that column
+    of ``order`` is unique in the whole list, else by key and order.
     """
     if "Patient ID" not in base.columns:
         base = base.withColumnRenamed("Patient id", "Patient ID")
@@ -57,8 +60,15 @@ def attach_baseline(df: DataFrame, base: DataFrame, end_date: dt.date | str,
     earlier = revalidate(baseline_key(base, sep), end_date)
     earlier = drop_all_duplicates(
         earlier.select(KEY, *[F.col(f"`{c}`") for c in columns]), KEY)
-    keyed = suffix_duplicates(list_key(df, sep), KEY, order)
-    return lookup_baseline(keyed, earlier, columns, KEY, SUFFIX).drop(KEY)
+    keyed = list_key(df, sep)
+    lettered = first_letters(keyed.select(KEY, *[F.col(f"`{c}`") for c in order]), KEY, order, LETTERED)
+    found = match(lettered, earlier.withColumnsRenamed({c: f"{c}{SUFFIX}" for c in columns}),
+                  LETTERED, KEY, "inner").drop(LETTERED)
+    if row is not None:
+        own = found.select(F.col(f"`{row}`"), *[F.col(f"`{c}{SUFFIX}`") for c in columns])
+        return match(df, own, row, row)
+    place = [KEY, *order]
+    return match(keyed, found, place, place, null_safe=True).drop(KEY)
 
 
 def earlier(name: str):

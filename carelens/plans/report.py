@@ -176,14 +176,18 @@ def rename_report(df: DataFrame) -> DataFrame:
     return df.toDF(*[heading for _, heading in REPORT_COLUMNS])
 
 
-def _prepared(line_list: DataFrame, order: tuple[str, ...]) -> DataFrame:
-    """Numbered list with blank columns; a blank cell is a missing value.
+def _numbered(line_list: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """The columns a report reads, numbered; a blank cell is a missing value.
 
-    Numbering stores the columns a report reads, and does so when it is called.
+    Numbering stores these columns, and does so when it is called.
     """
     kept = {*READ_COLUMNS, *order}
     needed = blank_to_null(line_list.select([F.col(f"`{c}`") for c in line_list.columns if c in kept]))
-    numbered = number_rows(needed, order, out="S/N.")
+    return number_rows(needed, order, out="S/N.")
+
+
+def _prepared(numbered: DataFrame) -> DataFrame:
+    """Numbered list with blank and derived columns."""
     return copied_columns(refill_columns(add_blank_columns(numbered)))
 
 
@@ -195,7 +199,7 @@ def programme_report(line_list: DataFrame, end_date: dt.date | str,
     ``status_source='previous_quarter'`` reports the status at the end of the previous
     quarter in place of the status before the last pickup.
     """
-    df = _prepared(line_list, order)
+    df = _prepared(_numbered(line_list, order))
     df = report_status(df, end_date, with_previous_names=status_source == "previous")
     return rename_report(project_report(df, status_source))
 
@@ -208,8 +212,13 @@ def merge_baseline(df: DataFrame, base: DataFrame, end_date: dt.date | str,
     By default the reactivation rule never fires, because lost patients already have
     another name when it is asked; ``reactivate_from_baseline`` asks it before.
     """
+    return _merged(earlier_report.attach_baseline(df, base, end_date, order, key_sep),
+                   reactivate_from_baseline)
+
+
+def _merged(df: DataFrame, reactivate_from_baseline: bool) -> DataFrame:
+    """The rules of a list that has the columns of the earlier report beside its own."""
     df = quarter_dates(outcome_dates(df))
-    df = earlier_report.attach_baseline(df, base, end_date, order, key_sep)
     if reactivate_from_baseline:
         df = earlier_report.reactivate(df)
     df = viral_load_date(report_names(df))
@@ -224,10 +233,11 @@ def programme_report_with_baseline(line_list: DataFrame, base: DataFrame,
                                    order: tuple[str, ...] = ROW_ORDER,
                                    key_sep: str = "") -> DataFrame:
     """The report of a line list, updated from an earlier report."""
-    df = _prepared(line_list, order)
-    # Letters of repeated keys follow the serial number: it is unique where ``order`` may tie.
-    df = merge_baseline(df, blank_to_null(base), end_date, reactivate_from_baseline,
-                        ("S/N.",), key_sep)
+    # Letters of repeated keys follow the serial number: it is unique where ``order`` may tie.  The
+    # stored columns alone are shuffled; what follows from them is added after.
+    df = earlier_report.attach_baseline(
+        _numbered(line_list, order), blank_to_null(base), end_date, ("S/N.",), key_sep, row="S/N.")
+    df = _merged(_prepared(df), reactivate_from_baseline)
     df = interruption_chance(df, end_date)
     if status_source == "previous":
         df = previous_names(df)

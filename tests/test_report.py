@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
 from conftest import at, day
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from carelens.functions import blank_to_null
 from carelens.plans import baseline, report, rules
 from carelens.plans.report_columns import BLANK_COLUMNS, DATE_COLUMNS, REPORT_COLUMNS
@@ -256,3 +258,15 @@ def test_blank_cells(spark):
     df = spark.createDataFrame([("", "x", 1)], "`a b` string, c string, n int")
     assert blank_to_null(df).first() == (None, "x", 1)
     assert dt.date(2024, 1, 1) == day("2024-01-01")
+
+
+def test_a_list_is_shuffled_once_to_meet_the_earlier_report(spark):
+    """Keys alone look for earlier rows; the columns of the list move once, by their number."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    df = entry.queries()["programme_report_repeated"](spark, "/root/testdata/sf0.001")
+    shape = df._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(re.findall(r"hashpartitioning\(S/N\.#\d+L, \d+\)", shape)) == 1
+    assert len(re.findall(r"hashpartitioning\(__(?:key|lettered)#", shape)) == 3
+    assert "coalesce(__k" not in shape
