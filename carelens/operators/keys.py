@@ -51,3 +51,19 @@ def match_many(left: DataFrame, right: DataFrame, left_keys: Keys, right_keys: K
     """
     known = right.dropna(subset=key_list(right_keys))
     return match(left, known, left_keys, right_keys, how, null_safe=True)
+
+
+def match_clustered(left: DataFrame, right: DataFrame, keys: Keys) -> DataFrame:
+    """``match_many`` on equal names whose rows stay clustered and sorted by the keys.
+
+    Aggregates by the keys, and more, that follow need no shuffle, unless adaptive execution has
+    split a skewed partition: then it adds one between their partial and final step.  The right
+    keys are compared as an expression, so an aggregated right side gets a shuffle of its own.
+    """
+    names = key_list(keys)
+    own = [F.when(F.col(k).isNotNull(), F.col(k)).alias(f"__right_{i}") for i, k in enumerate(names)]
+    other = right.select(*own, *[F.col(f"`{c}`") for c in right.columns if c not in names])
+    cond = F.lit(True)
+    for i, k in enumerate(names):
+        cond = cond & (left[f"`{k}`"] == other[f"__right_{i}"])
+    return left.join(other, cond, "left").drop(*[f"__right_{i}" for i in range(len(names))])

@@ -69,17 +69,19 @@ def latest_unbounded(obs: DataFrame, concepts: Iterable, end_date: dt.date | str
     ).drop("__any")
 
 
-def at_last(ts: str, value: Column) -> Column:
-    """Aggregate: the largest value among the rows at the last instant."""
+def at_last(ts: str, value: Column, where: Column | None = None) -> Column:
+    """Aggregate: the largest value among the rows (``where`` it holds) at the last instant."""
     instant = F.col(ts)
-    return F.max(F.when(instant.isNotNull(), F.struct(instant.alias("at"), value.alias("v"))))["v"]
+    asked = instant.isNotNull() if where is None else where & instant.isNotNull()
+    return F.max(F.when(asked, F.struct(instant.alias("at"), value.alias("v"))))["v"]
 
 
-def at_first(ts: str, value: Column) -> Column:
-    """Aggregate: the largest value among the rows at the first instant."""
+def at_first(ts: str, value: Column, where: Column | None = None) -> Column:
+    """Aggregate: the largest value among the rows (``where`` it holds) at the first instant."""
     instant = F.col(ts)
+    asked = instant.isNotNull() if where is None else where & instant.isNotNull()
     packed = F.struct(earlier_is_larger(instant).alias("at"), value.alias("v"))
-    return F.max(F.when(instant.isNotNull(), packed))["v"]
+    return F.max(F.when(asked, packed))["v"]
 
 
 def preferred_names(concept_name: DataFrame, locale: str = "en", site: Keys = ()) -> DataFrame:

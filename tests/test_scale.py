@@ -77,6 +77,18 @@ def test_facts_read_observations_once(spark):
     assert "WindowGroupLimit" in visits and visits.count("events.parquet") == 1
 
 
+def test_facts_merge_without_sorts_and_stay_with_their_person(no_broadcast):
+    """Rows merge in a hash table, and no shuffle follows the join with the visits."""
+    t = clinical_tables(no_broadcast, SF_DIR)
+    names = latest.preferred_names(t["concept_name"])
+    visits = visit_facts(t["obs"], t["encounter"], names, PICKUP_END, "person_id")
+    facts = plan(observation_facts(t["obs"], names, PICKUP_END, "person_id", visits=visits))
+    assert "partial_min_by" in facts
+    # A grain of a person, a kind of row and more sorts nothing; only names and whole visits do.
+    assert not re.search(r"SortAggregate\(key=\[person_id#\d+L, [^]]*,", facts)
+    assert not re.search(r"hashpartitioning\(person_id#\d+L, concept_id#\d+, \d+\)", facts)
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     """300,000 observations; a third belong to person 0, many at the same instant."""
