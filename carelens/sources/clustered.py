@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,7 +54,7 @@ def _registered(database: str, store: str, table: str) -> str:
 
 
 def write_clustered(tables: Mapping[str, DataFrame], path: str, buckets: int = 512, *,
-                    site: str | None = None, database: str = "default") -> str:
+                    site: str | None = None, database: str = "default", at_once: int = 6) -> str:
     """Write the clinical tables as a store in a new folder; gives the store's id.
 
     Rows go to the writers by ranges of buckets, which Spark finds from a sample, and within a
@@ -60,17 +62,21 @@ def write_clustered(tables: Mapping[str, DataFrame], path: str, buckets: int = 5
     many tasks, as several files of one bucket.  Equal rows alone stay together.  An
     existing folder is an error; a run that fails leaves a folder that ``load_clustered``
     refuses.  A missing person is a bucket's row like any other.
+
+    ``at_once`` tables are written at a time, observations first: most tables have too few
+    splits to fill a cluster alone.
     """
     missing = sorted(SCHEMAS.keys() - tables.keys())
     if missing:
         raise ValueError(f"no table {', '.join(missing)}")
     spark = tables["obs"].sparkSession
-    store, counts = uuid.uuid4().hex, []
-    for table, df in tables.items():
-        folder = f"{path}/{table}"
+    store = uuid.uuid4().hex
+
+    def write(table: str) -> DataFrame | None:
+        df, folder = tables[table], f"{path}/{table}"
         if table not in PERSON_OF:
             df.write.parquet(folder)
-            continue
+            return None
         keys = _keys(table, site)
         spread = df.repartitionByRange(_bucket(keys, buckets), F.xxhash64(*df.columns))
         spread.write.format("parquet").bucketBy(buckets, *keys).sortBy(
@@ -80,9 +86,14 @@ def write_clustered(tables: Mapping[str, DataFrame], path: str, buckets: int = 5
         filled = spark.read.schema(df.schema).parquet(folder).groupBy(
             _bucket(keys, buckets).alias("bucket")).agg(F.count("*").alias("n"))
         none = spark.range(1).select(F.lit(None).cast("int").alias("bucket"), F.lit(0).cast("long").alias("n"))
-        counts.append(filled.union(none).select(
+        return filled.union(none).select(
             F.lit(store).alias("store"), F.lit(table).alias("table"),
-            F.lit(buckets).alias("buckets"), "bucket", "n"))
+            F.lit(buckets).alias("buckets"), "bucket", "n")
+
+    with ThreadPoolExecutor(at_once) as pool:
+        order = sorted(tables, key=lambda table: table != "obs")
+        running = [pool.submit(inheritable_thread_target(spark)(write), table) for table in order]
+        counts = [df for df in (x.result() for x in running) if df is not None]
     reduce(DataFrame.union, counts).write.parquet(f"{path}/{COUNTS}")
     return store
 

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import itertools
+import threading
+
 import pytest
 from conftest import Clinic, at, day
 from pyspark.errors import AnalysisException
@@ -9,6 +12,7 @@ from carelens import sources
 from carelens.plans.line_list import LINE_LIST_COLUMNS, line_list
 from carelens.plans.profile import person_profile
 from carelens.plans.report import programme_report
+from carelens.sources import clustered
 
 
 def small(clinic):
@@ -223,3 +227,19 @@ def test_part_of_a_store_is_refused(spark, clinic, tmp_path):
     assert not spark.catalog.tableExists(f"default.carelens_{store}_obs")
     # Another session knows the store by its folder alone.
     assert sources.load_clustered(spark, f"{tmp_path}/store")["obs"].count() == tables["obs"].count()
+
+
+def test_tables_of_a_store_are_written_at_once(spark, clinic, tmp_path, monkeypatch):
+    """The first two tables wait for each other: one after the other they never meet."""
+    meet, calls, bucket = threading.Barrier(2, timeout=60), itertools.count(), clustered._bucket
+
+    def waiting(keys, buckets):
+        if next(calls) < 2:
+            meet.wait()
+        return bucket(keys, buckets)
+
+    monkeypatch.setattr(clustered, "_bucket", waiting)
+    tables = small(clinic)
+    sources.write_clustered(tables, f"{tmp_path}/store", 4)
+    back = sources.load_clustered(spark, f"{tmp_path}/store")
+    assert all(back[n].count() == df.count() for n, df in tables.items())
